@@ -1 +1,6 @@
 """Registered queries over the test tables."""
+
+from tallyroom.entry import cleaning, marts  # noqa: F401  (register on import)
+from tallyroom.entry.book import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
