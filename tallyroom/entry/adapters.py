@@ -181,6 +181,16 @@ SELECT l_orderkey AS id, CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS label
     CASE WHEN l_quantity >= 12 THEN 1 ELSE 0 END AS prediction,
     l_quantity / 50 AS score
 FROM {lineitem}""",
+    "candidate_scores": """
+SELECT l_suppkey AS model, CAST(count(CASE WHEN l_quantity <= 44 THEN 1 END) AS DOUBLE) / count(*) AS accuracy,
+    CAST(count(CASE WHEN l_quantity <= 40 THEN 1 END) AS DOUBLE) / count(*) AS f1,
+    CAST(count(CASE WHEN l_quantity <= 26 THEN 1 END) AS DOUBLE) / count(*) AS recall_unsatisfied,
+    CAST(count(CASE WHEN l_quantity <= 33 THEN 1 END) AS DOUBLE) / count(*) AS f1_unsatisfied
+FROM {lineitem} GROUP BY l_suppkey""",
+    "champion_scores": """
+SELECT l_suppkey AS model, CAST(count(CASE WHEN l_discount <= 0.07 THEN 1 END) AS DOUBLE) / count(*) AS f1,
+    CAST(count(CASE WHEN l_tax <= 0.04 THEN 1 END) AS DOUBLE) / count(*) AS recall_unsatisfied
+FROM {lineitem} JOIN {supplier} ON s_suppkey = l_suppkey WHERE s_acctbal > 0 GROUP BY l_suppkey""",
     "scoring_requests": f"""
 SELECT event_id AS id,
     CASE event_type WHEN 'view' THEN ' ' || props || ' ' WHEN 'click' THEN '{NBSP}' ELSE '' END

@@ -115,5 +115,5 @@ def hash_part(row_hash: Column, part: int) -> Column:
 
 def row_md5(*cols: Column | str) -> Column:
     """MD5 of a row; NULL and empty text hash differently."""
-    parts = [F.coalesce(_col(c).cast("string"), F.lit("\u0000")) for c in cols]
+    parts = [F.coalesce(_col(c).cast("string"), F.lit("\u001e")) for c in cols]
     return F.md5(F.concat_ws("\u001f", *parts))
