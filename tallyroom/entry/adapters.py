@@ -207,11 +207,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a small file out over the cores.
+
+    A test table is one file with one row group, hence one task, however
+    costly its rows are. A scan with enough splits is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The entity as a lazy frame over the test tables."""
     text = ENTITIES[name]
     bases = set(re.findall(r"\{(\w+)\}", text))
-    return spark.sql(text, **{b: table(spark, sf_dir, b) for b in bases})
+    tables = {b: table(spark, sf_dir, b) for b in bases}
+    if "documents" in tables:
+        tables["documents"] = spread(tables["documents"])
+    return spark.sql(text, **tables)
 
 
 def with_sql(*names: str) -> str:

@@ -48,13 +48,17 @@ def with_pairs(word_list: Column) -> Column:
     return F.concat(word_list, pairs)
 
 
-def term_first_flags(terms: Column) -> Column:
-    """Sorted terms of one document, each with 1 on its first occurrence."""
-    ordered = F.array_sort(terms)
-    return F.transform(
-        ordered,
-        lambda term, i: F.struct(
-            term.alias("term"),
-            F.when((i > 0) & (F.get(ordered, i - 1) == term), 0).otherwise(1).alias("first"),
-        ),
-    )
+def term_marks(terms: Column) -> Column:
+    """Every term of a document with (1, 0), then every distinct one with (0, 1).
+
+    Summed over documents the first number is the total count, the second the
+    number of documents.
+    """
+
+    def marks(array: Column, total: int, docs: int) -> Column:
+        return F.transform(
+            array,
+            lambda t: F.struct(t.alias("term"), F.lit(total).alias("total"), F.lit(docs).alias("docs")),
+        )
+
+    return F.concat(marks(terms, 1, 0), marks(F.array_distinct(terms), 0, 1))

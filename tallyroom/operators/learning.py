@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.functions.exprs import hash_part, row_md5
-from tallyroom.functions.text import term_first_flags, with_pairs, words
+from tallyroom.functions.text import term_marks, with_pairs, words
 from tallyroom.operators.ranking import rows_at_ranks, weighted_quantiles
 
 
@@ -175,14 +175,14 @@ def with_terms(df: DataFrame, text: str, out: str = "terms", ngrams: tuple[int,
 def term_counts(df: DataFrame, terms: str = "terms") -> DataFrame:
     """``term, n_total, n_docs`` over all documents.
 
-    Each document's terms are sorted and first occurrences flagged inside its
-    own row, so one map-side combined shuffle on the term gives both counts
-    and a term found everywhere is one partial row per task.
+    Both counts come from one map-side combined shuffle on the term, so a term
+    found everywhere is one partial row per task; (document, term) pairs are
+    never shuffled.
     """
     return (
-        df.select(F.inline(term_first_flags(F.col(terms))))
+        df.select(F.inline(term_marks(F.col(terms))))
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n_total"), F.sum(F.col("first").cast("bigint")).alias("n_docs"))
+        .agg(F.sum("total").alias("n_total"), F.sum("docs").alias("n_docs"))
     )
 
 

@@ -13,6 +13,8 @@ SQL_SETTINGS = {
     # Split a hot join key even where the operator above the join then needs
     # one more shuffle. Without a hot key the plan is unchanged.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Long texts go to Python in batches of rows; keep a batch to some tens of MB.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Batch ids are directory names in bronze; "01" must stay "01".
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

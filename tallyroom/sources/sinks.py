@@ -55,9 +55,18 @@ def append_json(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Export with a header and doubled quotes; blank cells survive a reload."""
-    df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+# Doubled quotes, and white space at the ends of a cell is part of it.
+CSV_EXPORT = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Export with a header; every cell reads back as it was."""
+    df.write.mode(mode).options(**CSV_EXPORT).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
