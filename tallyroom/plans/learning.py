@@ -79,12 +79,11 @@ def fit_logistic(
     max_iter: int = 1000,
     features: str = "features",
     label: str = TARGET,
-    intercept: bool = True,
 ):
     """L2 logistic regression with inverse strength ``c`` over the summed loss.
 
-    ``balanced`` weighs each class by n / (2 * n_class). Without a free
-    ``intercept`` the caller adds a constant feature, which is then penalised.
+    ``balanced`` weighs each class by n / (2 * n_class). The intercept is not
+    penalised. Features should be on one scale already.
     """
     classes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(classes.values())
@@ -94,7 +93,6 @@ def fit_logistic(
         regParam=1.0 / (c * n),
         elasticNetParam=0.0,
         standardization=False,
-        fitIntercept=intercept,
         maxIter=max_iter,
         tol=1e-6,
     )
@@ -117,9 +115,8 @@ def prepare(df: DataFrame, cfg: TrainConfig = TrainConfig()) -> DataFrame:
 def fit_model(train: DataFrame, cfg: TrainConfig = TrainConfig()) -> PipelineModel:
     """Fit on a prepared training frame. The result is a plain PipelineModel.
 
-    With text: TF-IDF terms plus numbers scaled by deviation, and a constant
-    column so that the intercept is penalised like any weight. Without text:
-    centred numbers, balanced class weights and a free intercept.
+    With text: TF-IDF terms plus numbers scaled by deviation. Without text:
+    centred numbers and balanced class weights.
     """
     scaled = L.fit_scale(train, NUMERIC_FEATURES, center=not cfg.use_text)
     stages: list = [scaled.stage(NUMERIC_FEATURES)]
@@ -129,10 +126,6 @@ def fit_model(train: DataFrame, cfg: TrainConfig = TrainConfig()) -> PipelineMod
         if weights.terms:
             stages += weights.stages()
             inputs = ["tfidf", *inputs]
-        stages[0] = L.SQLTransformer(
-            statement=stages[0].getStatement().replace(" FROM __THIS__", ", 1.0D AS x_one FROM __THIS__")
-        )
-        inputs.append("x_one")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     assembled = PipelineModel(stages).transform(train).select("features", TARGET)
     # Every iteration reads this frame; the terms must not be made again.
@@ -141,7 +134,6 @@ def fit_model(train: DataFrame, cfg: TrainConfig = TrainConfig()) -> PipelineMod
         balanced=not cfg.use_text,
         c=cfg.c,
         max_iter=cfg.max_iter,
-        intercept=not cfg.use_text,
     )
     return PipelineModel([*stages, fitted])
 
