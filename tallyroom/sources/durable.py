@@ -10,13 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 _own_roots: dict[str, str] = {}
 
 
+def _configured(spark: SparkSession) -> str | None:
+    return (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+    )
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder for intermediate tables: the session's ``spark.checkpoint.dir``.
 
     A temporary folder is made only where that setting is missing and the
     session runs in one process, as in tests.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = _configured(spark)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
