@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 NBSP = " "
 
@@ -203,18 +204,29 @@ FROM {{events}}""",
 }
 
 
+_known: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table; its schema is read from the file once per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    at = (spark.sparkContext.applicationId, path)
+    if at not in _known:
+        _known[at] = spark.read.parquet(path).schema
+    return spark.read.schema(_known[at]).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a small file out over the cores.
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a small file out over the cores, by hash of a key.
 
     A test table is one file with one row group, hence one task, however
     costly its rows are. A scan with enough splits is left as it is.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+
+
+SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id"}
 
 
 def entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -222,8 +234,8 @@ def entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = ENTITIES[name]
     bases = set(re.findall(r"\{(\w+)\}", text))
     tables = {b: table(spark, sf_dir, b) for b in bases}
-    if "documents" in tables:
-        tables["documents"] = spread(tables["documents"])
+    for b in bases & SPREAD_BY.keys():
+        tables[b] = spread(tables[b], SPREAD_BY[b])
     return spark.sql(text, **tables)
 
 

@@ -32,13 +32,13 @@ SELECT doc_id, len(w) AS n_words, array_to_string(w, ' ') AS words FROM (
     SELECT doc_id, regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}_]{2,}') AS w FROM documents)""",
 )
 def tokenise(spark: SparkSession, d: str) -> DataFrame:
-    listed = spread(table(spark, d, "documents")).select("doc_id", words(F.col("text")).alias("w"))
+    listed = spread(table(spark, d, "documents"), "doc_id").select("doc_id", words(F.col("text")).alias("w"))
     return plain(listed.select("doc_id", F.size("w").alias("n_words"), F.concat_ws(" ", "w").alias("words")))
 
 
 @query("tfidf_vocabulary", _TERMS + " SELECT term, n_total, n_docs FROM vocabulary")
 def tfidf_vocabulary(spark: SparkSession, d: str) -> DataFrame:
-    return L.vocabulary(L.with_terms(spread(table(spark, d, "documents")), "text"))
+    return L.vocabulary(L.with_terms(spread(table(spark, d, "documents"), "doc_id"), "text"))
 
 
 @query(
@@ -50,7 +50,7 @@ def tfidf_vocabulary(spark: SparkSession, d: str) -> DataFrame:
 SELECT doc_id, term, round(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)), 6) AS weight FROM weighted""",
 )
 def tfidf_vectors(spark: SparkSession, d: str) -> DataFrame:
-    vectors = L.tfidf(spread(table(spark, d, "documents")), "doc_id", "text")
+    vectors = L.tfidf(spread(table(spark, d, "documents"), "doc_id"), "doc_id", "text")
     return vectors.withColumn("weight", round_half_away("weight", 6))
 
 
@@ -116,7 +116,7 @@ SELECT n_rows, sha256(n_rows || '-' || a || '-' || b) AS fingerprint FROM (
         coalesce(CASE WHEN source <> 'web' THEN source END, chr(30)), text)) AS h FROM documents))""",
 )
 def data_fingerprint(spark: SparkSession, d: str) -> DataFrame:
-    documents = spread(table(spark, d, "documents")).withColumn(
+    documents = spread(table(spark, d, "documents"), "doc_id").withColumn(
         "source", F.when(F.col("source") != "web", F.col("source"))
     )
     return L.fingerprint(documents, ["doc_id", "lang", "source", "text"])

@@ -16,11 +16,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroom.functions.exprs import round_half_away
-from tallyroom.operators.ranking import global_row_number, weighted_quantiles
+from tallyroom.operators.ranking import sorted_runs, weighted_quantiles, with_rank
 from tallyroom.sources.durable import durable
 from tallyroom.sources.readers import utc_now
 from tallyroom.sources.sinks import append_json, overwrite_json
@@ -46,13 +46,18 @@ PROFILE_COLUMNS = (
 )
 
 
+def _clean_value(c: Column) -> Column:
+    """NaN counts as missing."""
+    return F.when(~F.isnan(c), c)
+
+
 def value_counts(df: DataFrame, cfg: DriftConfig) -> DataFrame:
     """``feature, kind, value, category, n``: every feature counted in one pass."""
     cells = [
         F.struct(
             F.lit(f).alias("feature"),
             F.lit("numeric").alias("kind"),
-            F.col(f).cast("double").alias("value"),
+            _clean_value(F.col(f).cast("double")).alias("value"),
             F.lit(None).cast("string").alias("category"),
         )
         for f in cfg.numeric
@@ -72,13 +77,8 @@ def value_counts(df: DataFrame, cfg: DriftConfig) -> DataFrame:
     )
 
 
-def _clean_value(c: str) -> Column:
-    """NaN counts as missing."""
-    return F.when(~F.isnan(c), F.col(c))
-
-
 def _bin_of(cuts: dict[str, list[float]]) -> Column:
-    """Number of cutpoints strictly below the value; the NULL bin after the last."""
+    """Numeric bin: cutpoints strictly below the value; NULLs after the last bin."""
     bin_no = F.lit(None).cast("int")
     for feature, points in cuts.items():
         array = F.array(*[F.lit(p) for p in points]) if points else F.array().cast("array<double>")
@@ -88,115 +88,112 @@ def _bin_of(cuts: dict[str, list[float]]) -> Column:
     return bin_no
 
 
+SPINE = "feature string, kind string, bin int, lower double, upper double, category string"
+
+
 def _numeric_spine(spark: SparkSession, cuts: dict[str, list[float]]) -> DataFrame:
     """Every numeric bin, also the empty ones: at most eleven per feature."""
     rows = []
     for feature, points in cuts.items():
         edges = [None, *points, None]
-        rows += [(feature, b, edges[b], edges[b + 1], False) for b in range(len(points) + 1)]
-        rows.append((feature, len(points) + 1, None, None, True))
-    return spark.createDataFrame(
-        rows, "feature string, bin int, lower double, upper double, for_nulls boolean"
-    )
+        rows += [(feature, "numeric", b, edges[b], edges[b + 1], None) for b in range(len(points) + 1)]
+        rows.append((feature, "numeric", len(points) + 1, None, None, None))
+    return spark.createDataFrame(rows, SPINE)
 
 
-def _numeric_profile(counts: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
-    binned = (
-        counts.withColumn("bin", _bin_of(cuts))
-        .groupBy("feature", "bin")
-        .agg(F.sum("n").alias("n"), F.sum(F.col("value") * F.col("n")).alias("total"))
+def _categorical_spine(runs: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The categories in text order and, per feature, a last bin for others."""
+    ranked = with_rank(runs, "at").where(F.col("kind") == "categorical")
+    ends = ranked.groupBy("feature").agg(
+        F.min("at").alias("first_at"), F.count(F.lit(1)).cast("int").alias("m")
     )
-    whole = Window.partitionBy("feature")  # at most eleven bins
-    rows = F.coalesce(F.sum("n").over(whole), F.lit(0))
-    missing = F.coalesce(F.max(F.when(F.col("for_nulls"), F.col("n"))).over(whole), F.lit(0))
-    return (
-        _numeric_spine(counts.sparkSession, cuts)
-        .join(binned, ["feature", "bin"], "left")
-        .select(
-            "feature",
-            F.lit("numeric").alias("kind"),
-            "bin",
-            "lower",
-            "upper",
-            F.lit(None).cast("string").alias("category"),
-            _share("n", rows).alias("proportion"),
-            F.coalesce(missing / F.nullif(rows, F.lit(0)), F.lit(0.0)).alias("null_rate"),
-            (F.sum("total").over(whole) / F.nullif(rows - missing, F.lit(0))).alias("mean"),
-            rows.cast("bigint").alias("row_count"),
-        )
+    own = ranked.join(F.broadcast(ends), "feature").select(  # one row per feature
+        "feature", (F.col("at") - F.col("first_at")).cast("int").alias("bin"), "category"
+    )
+    wanted = runs.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    others = wanted.join(ends, "feature", "left").select(
+        "feature", F.coalesce("m", F.lit(0)).alias("bin"), F.lit(None).cast("string").alias("category")
+    )
+    return own.unionByName(others).select(
+        "feature",
+        F.lit("categorical").alias("kind"),
+        "bin",
+        F.lit(None).cast("double").alias("lower"),
+        F.lit(None).cast("double").alias("upper"),
+        "category",
     )
 
 
-def _share(n: str, rows: Column) -> Column:
-    return F.coalesce(F.col(n) / F.nullif(rows, F.lit(0)), F.lit(0.0))
-
-
-def _categorical_profile(counts: DataFrame, spine: DataFrame) -> DataFrame:
-    """Shares over the spine ``feature, bin, category``; unknown values pooled.
+def _filled(counts: DataFrame, cuts: dict[str, list[float]], spine: DataFrame) -> DataFrame:
+    """Shares of the counted values in the bins of a spine.
 
-    The pooled bin is the spine row without a category.
+    All features go through one join with the known categories and one
+    aggregation to bins. The NULL share of a numeric feature is its last bin;
+    unknown categories fall into the spine row without a category.
     """
-    known = spine.where(F.col("category").isNotNull())
-    pooled = spine.where(F.col("category").isNull()).select("feature", F.col("bin").alias("other_bin"))
-    placed = (
-        counts.select("feature", "category", "n")
-        .join(known.select("feature", "category", "bin"), ["feature", "category"], "left")
-        .join(F.broadcast(pooled), "feature")  # one row per feature
-        .groupBy("feature", F.coalesce("bin", "other_bin").alias("bin"))
-        .agg(F.sum("n").alias("n"))
+    categories = spine.where(F.col("category").isNotNull()).select(
+        "feature", "category", F.col("bin").alias("known_bin")
+    )
+    last = F.broadcast(  # one row per feature
+        spine.groupBy("feature").agg(F.max("bin").alias("last_bin"))
     )
-    rows = F.broadcast(placed.groupBy("feature").agg(F.sum("n").alias("row_count")))
+    binned = (
+        counts.join(categories, ["feature", "category"], "left")
+        .join(last, "feature")
+        .withColumn(
+            "bin",
+            F.when(F.col("kind") == "numeric", _bin_of(cuts)).otherwise(
+                F.coalesce("known_bin", "last_bin")
+            ),
+        )
+        .groupBy("feature", "bin")
+        .agg(F.sum("n").alias("n"), F.sum(F.col("value") * F.col("n")).alias("total"))
+    )
+    per_feature = binned.join(last, "feature").groupBy("feature").agg(
+        F.sum("n").alias("row_count"),
+        F.coalesce(F.sum(F.when(F.col("bin") == F.col("last_bin"), F.col("n"))), F.lit(0)).alias("in_last"),
+        F.sum("total").alias("total"),
+    )
+    rows = F.nullif(F.col("row_count"), F.lit(0))
+    numeric = F.col("kind") == "numeric"
     return (
-        spine.join(placed, ["feature", "bin"], "left")
-        .join(rows, "feature", "left")
+        spine.join(binned.select("feature", "bin", "n"), ["feature", "bin"], "left")
+        .join(F.broadcast(per_feature), "feature", "left")  # one row per feature
         .select(
             "feature",
-            F.lit("categorical").alias("kind"),
+            "kind",
             "bin",
-            F.lit(None).cast("double").alias("lower"),
-            F.lit(None).cast("double").alias("upper"),
+            "lower",
+            "upper",
             "category",
-            _share("n", F.col("row_count")).alias("proportion"),
-            F.lit(None).cast("double").alias("null_rate"),
-            F.lit(None).cast("double").alias("mean"),
+            F.coalesce(F.col("n") / rows, F.lit(0.0)).alias("proportion"),
+            F.when(numeric, F.coalesce(F.col("in_last") / rows, F.lit(0.0))).alias("null_rate"),
+            F.when(
+                numeric, F.col("total") / F.nullif(F.col("row_count") - F.col("in_last"), F.lit(0))
+            ).alias("mean"),
             F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
         )
     )
 
 
-def _own_categories(counts: DataFrame, features: Sequence[str]) -> DataFrame:
-    """The frame's own categories as a spine, in text order, plus the pooled bin."""
-    ranked = global_row_number(counts.select("feature", "category"), ["feature", "category"], "at")
-    ends = ranked.groupBy("feature").agg(
-        F.min("at").alias("first_at"), F.count(F.lit(1)).cast("int").alias("m")
-    )
-    own = ranked.join(F.broadcast(ends), "feature").select(  # one row per feature
-        "feature", (F.col("at") - F.col("first_at")).cast("int").alias("bin"), "category"
-    )
-    wanted = counts.sparkSession.createDataFrame([(f,) for f in features], "feature string")
-    pooled = wanted.join(ends, "feature", "left").select(
-        "feature", F.coalesce("m", F.lit(0)).alias("bin"), F.lit(None).cast("string").alias("category")
-    )
-    return own.unionByName(pooled)
-
-
 def _with_time(df: DataFrame, created_at: str | None) -> DataFrame:
     return df.withColumn("created_at", F.lit(created_at or utc_now())).select(*PROFILE_COLUMNS)
 
 
 def profile(df: DataFrame, cfg: DriftConfig = DriftConfig(), *, created_at: str | None = None) -> DataFrame:
-    """Profile of a frame with its own cutpoints and categories."""
-    counted = durable(value_counts(df, cfg), "value-counts")
-    numeric = counted.where(F.col("kind") == "numeric").select(
-        "feature", _clean_value("value").alias("value"), "n"
-    )
-    runs, quantiles = weighted_quantiles(numeric, DECILES)
+    """Profile of a frame with its own cutpoints and categories.
+
+    The counts are sorted and written once; deciles, category numbers and
+    shares all come from that table.
+    """
+    runs = sorted_runs(value_counts(df, cfg), ["feature", "value", "category"], "value-counts")
+    numeric = runs.where(F.col("kind") == "numeric")
+    quantiles = weighted_quantiles(numeric, DECILES)
     cuts = {f: sorted(set(quantiles.get(f, []))) for f in cfg.numeric}
-    categorical = counted.where(F.col("kind") == "categorical")
-    parts = _numeric_profile(runs, cuts).unionByName(
-        _categorical_profile(categorical, _own_categories(categorical, cfg.categorical))
+    spine = _numeric_spine(df.sparkSession, cuts).unionByName(
+        _categorical_spine(runs, cfg.categorical)
     )
-    return _with_time(parts, created_at)
+    return _with_time(_filled(runs, cuts, spine), created_at)
 
 
 def profile_like(
@@ -212,15 +209,26 @@ def profile_like(
     for e in edges:
         cuts[e.feature].append(e.upper)
     cuts = {f: sorted(points) for f, points in cuts.items()}
-    counted = durable(value_counts(df, cfg), "value-counts")
-    numeric = counted.where(F.col("kind") == "numeric").select(
-        "feature", _clean_value("value").alias("value"), "n"
-    )
-    spine = baseline.where(F.col("kind") == "categorical").select("feature", "bin", "category")
-    parts = _numeric_profile(numeric, cuts).unionByName(
-        _categorical_profile(counted.where(F.col("kind") == "categorical"), spine)
+    spine = baseline.select("feature", "kind", "bin", "lower", "upper", "category")
+    return _with_time(_filled(value_counts(df, cfg), cuts, spine), created_at)
+
+
+def _paired(baseline: DataFrame, current: DataFrame, eps: float) -> DataFrame:
+    """The bins of both profiles side by side, with each bin's share of the psi."""
+    rest = ("mean", "null_rate", "row_count", "created_at")
+    sides = [
+        df.select(
+            "feature", "kind", "bin", F.col("proportion").alias(p), *[F.col(c).alias(f"{side}_{c}") for c in rest]
+        )
+        for df, side, p in ((baseline, "baseline", "e"), (current, "current", "a"))
+    ]
+    both = sides[0].join(sides[1], ["feature", "kind", "bin"], "full")
+    mismatch = F.col("e").isNull() | F.col("a").isNull()
+    e, a = F.greatest("e", F.lit(eps)), F.greatest("a", F.lit(eps))
+    term = F.when(mismatch, F.raise_error(F.lit("the two profiles have different bins"))).otherwise(
+        (a - e) * F.log(a / e)
     )
-    return _with_time(parts, created_at)
+    return both.withColumn("term", term.cast("double"))
 
 
 def psi(baseline: DataFrame, current: DataFrame, eps: float = SMALLEST_SHARE) -> DataFrame:
@@ -228,16 +236,7 @@ def psi(baseline: DataFrame, current: DataFrame, eps: float = SMALLEST_SHARE) ->
 
     Shares below ``eps`` are lifted to it. A bin only one side has is an error.
     """
-    expected = baseline.select("feature", "kind", "bin", F.col("proportion").alias("e"))
-    actual = current.select("feature", "kind", "bin", F.col("proportion").alias("a"))
-    paired = expected.join(actual, ["feature", "kind", "bin"], "full")
-    mismatch = F.col("e").isNull() | F.col("a").isNull()
-    e = F.greatest(F.col("e"), F.lit(eps))
-    a = F.greatest(F.col("a"), F.lit(eps))
-    term = F.when(mismatch, F.raise_error(F.lit("the two profiles have different bins"))).otherwise(
-        (a - e) * F.log(a / e)
-    )
-    return paired.groupBy("feature", "kind").agg(F.sum(term.cast("double")).alias("psi"))
+    return _paired(baseline, current, eps).groupBy("feature", "kind").agg(F.sum("term").alias("psi"))
 
 
 def severity(value: Column, cfg: DriftConfig = DriftConfig()) -> Column:
@@ -246,55 +245,46 @@ def severity(value: Column, cfg: DriftConfig = DriftConfig()) -> Column:
     )
 
 
-def feature_report(baseline: DataFrame, current: DataFrame, cfg: DriftConfig = DriftConfig()) -> DataFrame:
-    """One row per feature: psi (6 digits), severity (of the exact psi), means, null rates."""
+FEATURE_REPORT = (
+    "feature", "kind", "psi", "severity", "baseline_mean", "current_mean", "baseline_null_rate",
+    "current_null_rate",
+)
 
-    def sides(df: DataFrame, side: str) -> DataFrame:
-        return df.groupBy("feature").agg(
-            F.max("mean").alias(f"{side}_mean"), F.max("null_rate").alias(f"{side}_null_rate")
-        )
 
+def feature_facts(baseline: DataFrame, current: DataFrame, cfg: DriftConfig = DriftConfig()) -> DataFrame:
+    """The feature report plus row counts and the baseline's time, in one aggregation."""
+    facts = [f"{side}_{c}" for side in ("baseline", "current") for c in ("mean", "null_rate", "row_count")]
     return (
-        psi(baseline, current, cfg.eps)
-        .join(sides(baseline, "baseline"), "feature")
-        .join(sides(current, "current"), "feature")
-        .select(
-            "feature",
-            "kind",
-            round_half_away("psi", 6).alias("psi"),
-            severity(F.col("psi"), cfg).alias("severity"),
-            "baseline_mean",
-            "current_mean",
-            "baseline_null_rate",
-            "current_null_rate",
+        _paired(baseline, current, cfg.eps)
+        .groupBy("feature", "kind")
+        .agg(
+            F.sum("term").alias("raw_psi"),
+            *[F.max(c).alias(c) for c in (*facts, "baseline_created_at")],
         )
+        .withColumn("psi", round_half_away("raw_psi", 6))
+        .withColumn("severity", severity(F.col("raw_psi"), cfg))
     )
 
 
-def summary_report(
-    features: DataFrame, baseline: DataFrame, current: DataFrame, cfg: DriftConfig = DriftConfig()
-) -> DataFrame:
+def feature_report(baseline: DataFrame, current: DataFrame, cfg: DriftConfig = DriftConfig()) -> DataFrame:
+    """One row per feature: psi (6 digits), severity (of the exact psi), means, null rates."""
+    return feature_facts(baseline, current, cfg).select(*FEATURE_REPORT)
+
+
+def summary_report(facts: DataFrame, cfg: DriftConfig = DriftConfig()) -> DataFrame:
     """One row: row counts, largest psi, overall severity and flags."""
-    old = baseline.agg(
-        F.max("row_count").alias("baseline_rows"), F.max("created_at").alias("baseline_created_at")
-    )
-    new = current.agg(F.max("row_count").alias("current_rows"))
-    worst = features.agg(F.max("psi").alias("max_psi"))
-    gathered = old.unionByName(new, allowMissingColumns=True).unionByName(
-        worst, allowMissingColumns=True
-    )
-    facts = gathered.agg(
+    whole = facts.agg(
         F.max("baseline_created_at").alias("baseline_created_at"),
-        F.coalesce(F.max("baseline_rows"), F.lit(0)).alias("baseline_rows"),
-        F.coalesce(F.max("current_rows"), F.lit(0)).alias("current_rows"),
-        F.coalesce(F.max("max_psi"), F.lit(0.0)).alias("max_psi"),
+        F.coalesce(F.max("baseline_row_count"), F.lit(0)).alias("baseline_rows"),
+        F.coalesce(F.max("current_row_count"), F.lit(0)).alias("current_rows"),
+        F.coalesce(F.max("psi"), F.lit(0.0)).alias("max_psi"),
     )
     overall = severity(F.col("max_psi"), cfg)
     change = F.coalesce(
         (F.col("current_rows") - F.col("baseline_rows")) / F.nullif(F.col("baseline_rows"), F.lit(0)),
         F.lit(0.0),
     )
-    return facts.select(
+    return whole.select(
         F.lit("checked").alias("status"),
         "baseline_created_at",
         "baseline_rows",
@@ -313,9 +303,9 @@ def drift_report(
     baseline: DataFrame, df: DataFrame, cfg: DriftConfig = DriftConfig()
 ) -> tuple[DataFrame, DataFrame]:
     """Compare a frame with a baseline profile: (summary row, feature rows)."""
-    current = durable(profile_like(df, baseline, cfg), "profile")
-    features = durable(feature_report(baseline, current, cfg), "drift-features")
-    return summary_report(features, baseline, current, cfg), features
+    current = profile_like(df, baseline, cfg)
+    facts = durable(feature_facts(baseline, current, cfg), "drift-facts")
+    return summary_report(facts, cfg), facts.select(*FEATURE_REPORT)
 
 
 class DriftError(RuntimeError):

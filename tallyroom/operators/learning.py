@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyroom.functions.exprs import hash_part, row_md5
 from tallyroom.functions.text import term_marks, with_pairs, words
-from tallyroom.operators.ranking import rows_at_ranks, weighted_quantiles
+from tallyroom.operators.ranking import rows_at_ranks, sorted_runs, weighted_quantiles
 
 
 class TrainingRefused(RuntimeError):
@@ -130,7 +130,7 @@ def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    _, found = weighted_quantiles(counts, [0.5])
+    found = weighted_quantiles(sorted_runs(counts, ["feature", "value"], "medians"), [0.5])
     return {c: found[c][0] if c in found else 0.0 for c in columns}
 
 

@@ -36,29 +36,33 @@ def _index() -> Column:
     return F.col(_AT).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
 
 
-def _sorted_runs(df: DataFrame, order: Sequence[Column | str], label: str) -> DataFrame:
+def sorted_runs(df: DataFrame, order: Sequence[Column | str], label: str) -> DataFrame:
+    """The rows range-partitioned and sorted, written with their place."""
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     return durable(ranged.withColumn(_AT, F.monotonically_increasing_id()), label)
 
 
-def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
-    """Add the 1-based rank of each row in ``order`` as a BIGINT."""
-    runs = _sorted_runs(df, order, "row-number")
+def with_rank(runs: DataFrame, out: str) -> DataFrame:
+    """Sorted runs with the global 1-based rank instead of the place."""
     sizes = runs.groupBy(_run().alias("run")).agg(F.count(F.lit(1)).alias("n")).collect()
     before, offsets = 0, []
     for run, n in sorted((r.run, r.n) for r in sizes):
         offsets.append((run, before))
         before += n
-    spark = df.sparkSession
-    shift = spark.createDataFrame(offsets, "_run bigint, _before bigint")
+    shift = runs.sparkSession.createDataFrame(offsets, "_run bigint, _before bigint")
     return (
         runs.withColumn("_run", _run())
         .join(F.broadcast(shift), "_run")  # one row per partition
         .withColumn(out, F.col("_before") + _index() + 1)
-        .select(*df.columns, out)
+        .drop("_run", "_before", _AT)
     )
 
 
+def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
+    """Add the 1-based rank of each row in ``order`` as a BIGINT."""
+    return with_rank(sorted_runs(df, order, "row-number"), out)
+
+
 def global_dense_rank(
     df: DataFrame, value: str, out: str, *, descending: bool = False
 ) -> DataFrame:
@@ -89,7 +93,7 @@ def rows_at_ranks(
     rising order. Returns ``{group value: [row, ...]}``; groups must be few
     (they are axes or classes, not data).
     """
-    runs = _sorted_runs(df.select(group, *order), [group, *order], "ranks")
+    runs = sorted_runs(df.select(group, *order), [group, *order], "ranks")
     sizes = (
         runs.groupBy(group, _run().alias("run"))
         .agg(F.count(F.lit(1)).alias("n"), F.min(_index()).alias("start"))
@@ -178,16 +182,14 @@ def global_ntile(df: DataFrame, k: int, axes: dict[str, Axis], key: str) -> Data
     return out
 
 
-def weighted_quantiles(
-    counts: DataFrame, probs: Sequence[float]
-) -> tuple[DataFrame, dict[str, list[float]]]:
-    """Exact quantiles per feature from ``(feature, value, n)`` counts.
+def weighted_quantiles(runs: DataFrame, probs: Sequence[float]) -> dict[str, list[float]]:
+    """Exact quantiles per feature from counts ``(feature, value, n)``.
 
-    Linear interpolation between neighbours. Returns the counts as written
-    and ``{feature: [quantile per prob]}``; a feature without values has none.
-    Running sums are taken only inside the partitions that hold a wanted rank.
+    ``runs`` are those counts sorted by feature and value (:func:`sorted_runs`).
+    Linear interpolation between neighbours: ``{feature: [quantile per prob]}``;
+    a feature without values has no entry. Running sums are taken only inside
+    the partitions that hold a wanted rank.
     """
-    runs = _sorted_runs(counts, ["feature", "value"], "quantiles")
     present = runs.where(F.col("value").isNotNull())
     sizes = (
         present.groupBy("feature", _run().alias("run")).agg(F.sum("n").alias("n")).collect()
@@ -213,8 +215,8 @@ def weighted_quantiles(
                         break
                     before += part.n
     if not needed:
-        return runs, {}
-    wanted = counts.sparkSession.createDataFrame(
+        return {}
+    wanted = runs.sparkSession.createDataFrame(
         sorted(needed), "feature string, run bigint, rank bigint, inside bigint"
     )
     local = Window.partitionBy("feature", "run").orderBy("value")
@@ -230,7 +232,7 @@ def weighted_quantiles(
         .collect()
     )
     at = {(h.feature, h["rank"]): h.value for h in hits}
-    return runs, {
+    return {
         f: [at[f, lo] + (at[f, hi] - at[f, lo]) * t for lo, hi, t in places]
         for f, places in spots.items()
     }

@@ -13,6 +13,7 @@ from tallyroom.operators.ranking import (
     global_ntile,
     global_row_number,
     rows_at_ranks,
+    sorted_runs,
     weighted_quantiles,
 )
 
@@ -72,10 +73,10 @@ def test_quantiles_match_numpy(spark):
     df = spark.createDataFrame([("f", v) for v in values], "feature string, value double")
     counts = df.groupBy("feature", "value").count().withColumnRenamed("count", "n").repartition(6)
     probs = [i / 10 for i in range(1, 10)]
-    _, found = weighted_quantiles(counts, probs)
+    found = weighted_quantiles(sorted_runs(counts, ["feature", "value"], "t"), probs)
     assert found["f"] == pytest.approx(np.quantile(values, probs).tolist(), abs=1e-12)
 
 
 def test_quantiles_of_nothing(spark):
     counts = spark.createDataFrame([("f", None, 3)], "feature string, value double, n bigint")
-    assert weighted_quantiles(counts, [0.5])[1] == {}
+    assert weighted_quantiles(sorted_runs(counts, ["feature", "value"], "t"), [0.5]) == {}
