@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tallyroom.functions.exprs import round_half_away
 from tallyroom.operators.ranking import sorted_runs, weighted_quantiles, with_rank
-from tallyroom.sources.durable import durable
+from tallyroom.sources.durable import durable, small_frame
 from tallyroom.sources.readers import utc_now
 from tallyroom.sources.sinks import append_json, overwrite_json
 
@@ -98,7 +98,7 @@ def _numeric_spine(spark: SparkSession, cuts: dict[str, list[float]]) -> DataFra
         edges = [None, *points, None]
         rows += [(feature, "numeric", b, edges[b], edges[b + 1], None) for b in range(len(points) + 1)]
         rows.append((feature, "numeric", len(points) + 1, None, None, None))
-    return spark.createDataFrame(rows, SPINE)
+    return small_frame(spark, rows, SPINE)
 
 
 def _categorical_spine(runs: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -110,7 +110,7 @@ def _categorical_spine(runs: DataFrame, features: Sequence[str]) -> DataFrame:
     own = ranked.join(F.broadcast(ends), "feature").select(  # one row per feature
         "feature", (F.col("at") - F.col("first_at")).cast("int").alias("bin"), "category"
     )
-    wanted = runs.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    wanted = small_frame(runs.sparkSession, [(f,) for f in features], "feature string")
     others = wanted.join(ends, "feature", "left").select(
         "feature", F.coalesce("m", F.lit(0)).alias("bin"), F.lit(None).cast("string").alias("category")
     )
@@ -129,36 +129,37 @@ def _filled(counts: DataFrame, cuts: dict[str, list[float]], spine: DataFrame) -
 
     All features go through one join with the known categories and one
     aggregation to bins. The NULL share of a numeric feature is its last bin;
-    unknown categories fall into the spine row without a category.
+    unknown categories meet in the spine row without a category.
     """
+    other = F.lit(-1)
     categories = spine.where(F.col("category").isNotNull()).select(
         "feature", "category", F.col("bin").alias("known_bin")
     )
-    last = F.broadcast(  # one row per feature
-        spine.groupBy("feature").agg(F.max("bin").alias("last_bin"))
-    )
     binned = (
         counts.join(categories, ["feature", "category"], "left")
-        .join(last, "feature")
         .withColumn(
-            "bin",
-            F.when(F.col("kind") == "numeric", _bin_of(cuts)).otherwise(
-                F.coalesce("known_bin", "last_bin")
-            ),
+            "slot",
+            F.when(F.col("kind") == "numeric", _bin_of(cuts)).otherwise(F.coalesce("known_bin", other)),
+        )
+        .groupBy("feature", "slot")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing"),
+            F.sum(F.col("value") * F.col("n")).alias("total"),
         )
-        .groupBy("feature", "bin")
-        .agg(F.sum("n").alias("n"), F.sum(F.col("value") * F.col("n")).alias("total"))
     )
-    per_feature = binned.join(last, "feature").groupBy("feature").agg(
-        F.sum("n").alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("bin") == F.col("last_bin"), F.col("n"))), F.lit(0)).alias("in_last"),
-        F.sum("total").alias("total"),
+    per_feature = F.broadcast(  # one row per feature
+        binned.groupBy("feature").agg(
+            F.sum("n").alias("row_count"), F.sum("missing").alias("missing"), F.sum("total").alias("total")
+        )
     )
     rows = F.nullif(F.col("row_count"), F.lit(0))
     numeric = F.col("kind") == "numeric"
+    slot = F.when(numeric | F.col("category").isNotNull(), F.col("bin")).otherwise(other)
     return (
-        spine.join(binned.select("feature", "bin", "n"), ["feature", "bin"], "left")
-        .join(F.broadcast(per_feature), "feature", "left")  # one row per feature
+        spine.withColumn("slot", slot)
+        .join(binned.select("feature", "slot", "n"), ["feature", "slot"], "left")
+        .join(per_feature, "feature", "left")
         .select(
             "feature",
             "kind",
@@ -167,9 +168,9 @@ def _filled(counts: DataFrame, cuts: dict[str, list[float]], spine: DataFrame) -
             "upper",
             "category",
             F.coalesce(F.col("n") / rows, F.lit(0.0)).alias("proportion"),
-            F.when(numeric, F.coalesce(F.col("in_last") / rows, F.lit(0.0))).alias("null_rate"),
+            F.when(numeric, F.coalesce(F.col("missing") / rows, F.lit(0.0))).alias("null_rate"),
             F.when(
-                numeric, F.col("total") / F.nullif(F.col("row_count") - F.col("in_last"), F.lit(0))
+                numeric, F.col("total") / F.nullif(F.col("row_count") - F.col("missing"), F.lit(0))
             ).alias("mean"),
             F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
         )

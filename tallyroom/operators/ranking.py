@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyroom.sources.durable import durable
+from tallyroom.sources.durable import durable, small_frame
 
 _POSITION_BITS = 33  # fixed by monotonically_increasing_id
 _AT = "_at"
@@ -49,7 +49,7 @@ def with_rank(runs: DataFrame, out: str) -> DataFrame:
     for run, n in sorted((r.run, r.n) for r in sizes):
         offsets.append((run, before))
         before += n
-    shift = runs.sparkSession.createDataFrame(offsets, "_run bigint, _before bigint")
+    shift = small_frame(runs.sparkSession, offsets, "_run bigint, _before bigint")
     return (
         runs.withColumn("_run", _run())
         .join(F.broadcast(shift), "_run")  # one row per partition
@@ -216,13 +216,16 @@ def weighted_quantiles(runs: DataFrame, probs: Sequence[float]) -> dict[str, lis
                     before += part.n
     if not needed:
         return {}
-    wanted = runs.sparkSession.createDataFrame(
-        sorted(needed), "feature string, run bigint, rank bigint, inside bigint"
+    wanted = small_frame(
+        runs.sparkSession, sorted(needed), "feature string, run bigint, rank bigint, inside bigint"
+    )
+    held = small_frame(
+        runs.sparkSession, sorted({(f, run) for f, run, _, _ in needed}), "feature string, run bigint"
     )
     local = Window.partitionBy("feature", "run").orderBy("value")
     running = (
         present.withColumn("run", _run())
-        .join(F.broadcast(wanted.select("feature", "run").distinct()), ["feature", "run"])
+        .join(F.broadcast(held), ["feature", "run"])
         .withColumn("upto", F.sum("n").over(local))
     )
     hits = (

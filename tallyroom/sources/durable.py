@@ -1,11 +1,15 @@
-"""Cut the lineage of a frame with a table that outlives its executors."""
+"""Cut the lineage of a frame with a table that outlives its executors, and
+bring a handful of rows from the driver into a plan."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _own_roots: dict[str, str] = {}
 
@@ -45,3 +49,11 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A few rows as a local relation: its size is known to the planner and
+    reading it takes no job. For bin edges, offsets and the like."""
+    schema = T.StructType.fromDDL(ddl)
+    records = [dict(zip(schema.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(schema)), schema)
