@@ -128,9 +128,10 @@ def fit_model(train: DataFrame, cfg: TrainConfig = TrainConfig()) -> PipelineMod
             inputs = ["tfidf", *inputs]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     assembled = PipelineModel(stages).transform(train).select("features", TARGET)
-    # Every iteration reads this frame; the terms must not be made again.
+    # Every iteration reads this frame: the terms must not be made again, and
+    # partitions of one size (few, if it is small) keep the tasks even.
     fitted = fit_logistic(
-        durable(assembled, "train"),
+        durable(assembled.hint("rebalance"), "train"),
         balanced=not cfg.use_text,
         c=cfg.c,
         max_iter=cfg.max_iter,

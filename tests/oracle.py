@@ -23,7 +23,7 @@ def _cell(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "nan"
-        return repr(float(f"{value:.12g}") + 0.0)
+        return repr(value + 0.0)
     if isinstance(value, decimal.Decimal):
         return str(value)
     if isinstance(value, (dt.datetime, dt.date)):
