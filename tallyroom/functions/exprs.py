@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 # What counts as a number or as a date in a raw text cell.
 NUMBER_TEXT = r"(?i)^\s*[-+]?([0-9.]+(e[-+]?[0-9]+)?|inf.*|nan)\s*$"
 DATE_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
-OUTER_SPACE = r"^\p{Zs}+|\p{Zs}+$"
+# Fixed value: the space characters (Unicode class Zs).
+SPACES = " \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000"
 
 # Fixed value: stands for NULL inside a surrogate key.
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
@@ -47,7 +48,7 @@ def safe_date(c: Column | str, fmt: str | None = None) -> Column:
 
 def trimmed(c: Column | str) -> Column:
     """Strip outer space characters, the no-break space included."""
-    return F.regexp_replace(_col(c), OUTER_SPACE, "")
+    return F.btrim(_col(c), F.lit(SPACES))
 
 
 def clean_lower(c: Column | str) -> Column:

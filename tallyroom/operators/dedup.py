@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyroom.sources.durable import durable
+
 _RN = "_rn"
 
 
@@ -63,7 +65,8 @@ def consistent_sample(tables: dict[str, DataFrame], n: int = 100) -> dict[str, D
     for child in ("order_items", "payments", "reviews"):
         orders = orders.join(key_set(tables[child], "order_id"), "order_id", "left_semi")
     orders = orders.join(key_set(tables["customers"], "customer_id"), "customer_id", "left_semi")
-    picked = F.broadcast(orders.select("order_id").distinct().orderBy("order_id").limit(n))
+    keys = orders.select("order_id").distinct().orderBy("order_id").limit(n)
+    picked = F.broadcast(durable(keys, "sample"))  # at most n rows, found once
 
     sample = {
         name: tables[name].join(picked, "order_id", "left_semi")

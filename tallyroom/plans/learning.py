@@ -325,7 +325,8 @@ def train_and_register(
 ) -> dict:
     """Train, evaluate, register and, if the gate allows, promote.
 
-    Skips when the data is what the champion was trained on.
+    Skips when the data is what the champion was trained on. ``features`` is
+    read several times: pass a written table.
     """
     data = training_frame(features, cfg.key)
     n_rows = L.guard(data, TARGET, cfg.min_rows)
