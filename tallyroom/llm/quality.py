@@ -145,8 +145,8 @@ def repeated_window_words(hashes: np.ndarray, width: int = 3) -> int:
     return int((np.cumsum(edge) > 0).sum())
 
 
-def measures(text: str | None) -> tuple[int, int, int, int]:
-    """Code points in words, symbols, repeated lines, words."""
+def measures(text: str | None) -> tuple[int, int, int]:
+    """Code points in words, symbols, repeated lines."""
     text = text or ""
     seen: set[str] = set()
     repeated = 0
@@ -155,7 +155,7 @@ def measures(text: str | None) -> tuple[int, int, int, int]:
             repeated += 1
         elif _WORDS.search(line):
             seen.add(line)
-    return len(text) - len(_BLANKS.findall(text)), len(_SYMBOL.findall(text)), repeated, len(_WORDS.findall(text))
+    return len(text) - len(_BLANKS.findall(text)), len(_SYMBOL.findall(text)), repeated
 
 
 def judge(
@@ -168,38 +168,32 @@ def judge(
     max_words: tuple[float, float] = MAX_WORDS,
 ) -> DataFrame:
     """One row per document with its measures, nearest reference, distances and ``kept``."""
-    id_type = docs.schema[id_col].dataType.simpleString()
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = pdf["text"].tolist()
-            exact, counts = word_hashes(texts, fold=False)
-            folded, _ = word_hashes(texts)
-            rows, at = [], 0
-            for text, n in zip(texts, counts):
-                chars, symbols, lines, _ = measures(text)
-                again = repeated_window_words(exact[at : at + n])
-                failed = n < min_words or 100 * again > 50 * n
-                classes = char_classes(text)
-                allowed = [base + slack / max(n, 1) ** 0.5 for base, slack in (max_chars, max_words)]
-                near = sorted(
-                    (max(c / allowed[0], w / allowed[1]), r.lang, c, w)
-                    for r in refs
-                    for c, w in [r.distances(classes, folded[at : at + n])]
-                )[:1]
-                best, lang, c, w = near[0] if near else (0.0, None, None, None)
-                rows.append((n, chars, symbols, lines, again, failed, not failed and best <= 1.0, lang, c, w))
-                at += n
-            out = pd.DataFrame(rows, columns=[x.split()[0] for x in fields.split(", ")])
-            out.insert(0, "id", pdf["id"].to_numpy() if not pdf["id"].isna().any() else pdf["id"].array)
-            yield out
-
     fields = (
         "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
         "base_failed boolean, kept boolean, nearest_lang string, char_distance double, word_distance double"
     )
-    return (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .mapInPandas(score, f"id {id_type}, {fields}")
-        .withColumnRenamed("id", id_col)
-    )
+    names = [x.split()[0] for x in fields.split(", ")]
+
+    @F.pandas_udf(fields)
+    def rate(series: pd.Series) -> pd.DataFrame:
+        texts = series.tolist()
+        exact, counts = word_hashes(texts, fold=False)
+        folded, _ = word_hashes(texts)
+        rows, at = [], 0
+        for text, n in zip(texts, counts):
+            again = repeated_window_words(exact[at : at + n])
+            failed = bool(n < min_words or 100 * again > 50 * n)
+            classes = char_classes(text)
+            allowed = [base + slack / max(n, 1) ** 0.5 for base, slack in (max_chars, max_words)]
+            near = sorted(
+                (max(c / allowed[0], w / allowed[1]), r.lang, c, w)
+                for r in refs
+                for c, w in [r.distances(classes, folded[at : at + n])]
+            )[:1]
+            best, lang, c, w = near[0] if near else (0.0, None, None, None)
+            rows.append((n, *measures(text), again, failed, not failed and best <= 1.0, lang, c, w))
+            at += n
+        return pd.DataFrame(rows, columns=names)
+
+    rated = docs.select(F.col(id_col), rate(F.col(text_col)).alias("_rated"))
+    return rated.select(id_col, *[F.col(f"_rated.{c}") for c in names])
