@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import licences, mixing, neighbours, packing, quality, sharding, toxicity
+from tallyroom.llm import licences, mixing, near_duplicates, neighbours, packing, quality, sharding, toxicity
 from tallyroom.llm.frames import remainder
 from tallyroom.session import configure
 
@@ -81,6 +81,11 @@ def longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+@_query("op8_min_max_near_duplicates")
+def min_max_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicate_groups(_table(spark, sf_dir, "documents"), width=4)
+
+
 @_query("op10_licence_scan", licences.licence_sql())
 def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_scan(_table(spark, sf_dir, "documents"))
