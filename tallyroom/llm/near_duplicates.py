@@ -11,7 +11,8 @@ Equal sets are one node (the smallest id that has it), so exact copies cost
 nothing. Candidates are confirmed on their full sets. A band's bucket is not
 expanded into pairs: its members are first compared with one centre, the
 member that shares most buckets; members whose components still differ after
-that are then compared with each other, so no link between candidates is lost.
+that are then compared with each other, unless the shingles a member shares
+with any other are too few for the threshold. No link between candidates is lost.
 
 Null texts and texts without words have no shingles and are linked with
 nothing. Ids must differ between different texts; rows repeated under one id
@@ -37,6 +38,7 @@ WIDTH = 5
 PERCENT = 80
 HASHES = 80
 ROWS = 5
+_COLUMNS = 2048  # shingles counted at once
 _RANDOM = np.random.default_rng(20)
 _A = _RANDOM.integers(0, 1 << 63, 1024, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 _B = _RANDOM.integers(0, 1 << 63, 1024, dtype=np.int64).astype(U64)
@@ -105,6 +107,85 @@ def _near_in_size(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _reaches(common: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether sets of n and m may be similar enough with no more than ``common`` shared."""
+    return 100 * common >= percent * (n + m - common)
+
+
+def _able(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``apart`` whose node may still be similar to another in its bucket.
+
+    No pair can share more than a node's shingles found in any other node that
+    is apart. Edited copies of one text each have
+    shingles of their own, so most of them end here, however many there are.
+    The least size a partner can have is that of the bucket's smallest set, or
+    ``percent`` of the node's own.
+    """
+    nodes = apart.select("node").distinct()
+    own = (
+        sets.join(small_side(durable(nodes, "apart-nodes")), "node", "left_semi")
+        .select("node", F.explode("set").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("node"))
+        .where(F.col("times") == 1)
+        .groupBy("node")
+        .agg(F.count(F.lit(1)).alias("own"))
+    )
+    least = F.greatest(F.col("n_least"), F.floor(F.col("n") * percent / 100))
+    able = durable(
+        apart.join(own, "node", "left")
+        .where(_reaches(F.col("n") - F.coalesce("own", F.lit(0)), F.col("n"), least, percent))
+        .select("key", "node", "component"),
+        "able",
+    )
+    left = able.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.countDistinct("component").alias("parts"))
+    return durable(able.join(left.where("parts > 1").select("key", "members"), "key"), "across")
+
+
+def similar_pairs(sets: list[np.ndarray], component: np.ndarray, percent: int) -> np.ndarray:
+    """Index pairs of similar enough sets in different components, by counting common shingles block by block."""
+    n = np.array([len(s) for s in sets], dtype=np.int64)
+    items, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), n)
+    place = np.cumsum(times > 1) - 1
+    met = times[column] > 1
+    row, column = row[met], place[column[met]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        at = slice(*np.searchsorted(column, [lo, lo + _COLUMNS]))
+        part = np.zeros((len(sets), _COLUMNS), dtype=np.float32)
+        part[row[at], column[at] - lo] = 1
+        common += part @ part.T
+    near = 100 * common >= percent * (n[:, None] + n[None, :] - common)
+    return np.argwhere(np.triu(near & (component[:, None] != component[None, :]), 1))
+
+
+def _across(apart: DataFrame, sets: DataFrame, percent: int, block: int = 1024) -> DataFrame:
+    """Links ``(a, b)`` between members of one bucket that are in different components.
+
+    A bucket is compared by one task, or, beyond ``block`` members, by one
+    task for each pair of its parts; only links leave the task.
+    """
+
+    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        at = similar_pairs([np.asarray(s) for s in pdf["set"]], pdf["component"].to_numpy(), percent)
+        node = pdf["node"].to_numpy()
+        return pd.DataFrame({"a": node[at[:, 0]], "b": node[at[:, 1]]})
+
+    parts = F.ceil(F.col("members") / block).cast("int")
+    mine = F.pmod(F.xxhash64("node"), parts).cast("int")
+    kind = dict(sets.dtypes)["node"]
+    return (
+        apart.join(sets, "node")
+        .select("key", "node", "component", "set", mine.alias("mine"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("theirs"))
+        .groupBy("key", F.least("mine", "theirs").alias("i"), F.greatest("mine", "theirs").alias("j"))
+        .applyInPandas(compare, f"a {kind}, b {kind}")
+        .distinct()
+    )
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The distinct pairs ``(a, b)`` whose sets are similar enough."""
     left, right = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
@@ -156,16 +237,14 @@ def near_duplicate_groups(
 
     # buckets whose members are still apart
     placed = buckets.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    apart = durable(placed.join(split, "key"), "apart")
-    other = apart.select("key", F.col("node").alias("other"), F.col("n").alias("n_other"), F.col("component").alias("its"))
-    rest = (
-        apart.join(other, "key")
-        .where((F.col("node") < F.col("other")) & (F.col("component") != F.col("its")) & _near_in_size(F.col("n"), F.col("n_other"), percent))
-        .select(*ordered)
-        .distinct()
+    split = (
+        placed.groupBy("key")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("n_least"))
+        .where("lo != hi")
+        .select("key", "n_least")
     )
-    more = durable(confirmed(rest, sets, percent), "links-rest")
+    apart = _able(durable(placed.join(split, "key"), "apart"), sets, percent)
+    more = durable(_across(apart, sets, percent), "links-rest")
     if more.limit(1).count():
         labels = connected(links.union(more))
 
