@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import licences, mixing, near_duplicates, neighbours, packing, quality, sharding, toxicity
+from tallyroom.llm import language_model, licences, mixing, near_duplicates, neighbours, packing, quality, sharding, toxicity
 from tallyroom.llm.frames import remainder
 from tallyroom.session import configure
 
@@ -69,6 +69,11 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+@_query("op5_pair_trie_scores")
+def pair_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(_table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 5) == 1)
+
+
 @_query("op6_language_divergence")
 def language_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")

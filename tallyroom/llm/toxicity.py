@@ -70,12 +70,10 @@ class Lexicon:
         self.terms, self.stems = list(terms), list(stems)
         self.children: list[dict[str, int]] = [{}]
         self.term_at: dict[int, int] = {}
-        self.stem_at: dict[int, int] = {}
         self.edits = [0]  # most edits any term below may take
         for i, term in enumerate(self.terms):
             self.term_at[self._insert(term, allowed_edits(term))] = i
-        for i, stem in enumerate(self.stems):
-            self.stem_at[self._insert(stem, 0)] = i
+        self._starts = tuple(self.stems)
         self._reset()
 
     def _insert(self, term: str, edits: int) -> int:
@@ -97,7 +95,13 @@ class Lexicon:
         self._ids: dict[frozenset, int] = {}
         self._sets: list[frozenset] = []
         self._steps: list[dict[str, int]] = []
-        self._start = self._state({0: 0})
+        self._accepts: list[tuple[int, int] | None] = []
+        self._start, self._dead = self._state({0: 0}), self._state({})
+
+    def trim(self) -> None:
+        """Forget the states built so far if they have become many."""
+        if len(self._sets) > self._MAX_STATES:
+            self._reset()
 
     def _state(self, cost: dict[int, int]) -> int:
         """Number of the state that holds each trie node at its least cost, letters left out included."""
@@ -114,6 +118,8 @@ class Lexicon:
             self._ids[key] = len(self._sets)
             self._sets.append(key)
             self._steps.append({})
+            ends = [(e, self.term_at[n]) for n, e in key if n in self.term_at and e <= allowed_edits(self.terms[self.term_at[n]])]
+            self._accepts.append((min(ends)[1], min(ends)[0]) if ends else None)
         return self._ids[key]
 
     def _step(self, state: int, letter: str) -> int:
@@ -131,31 +137,24 @@ class Lexicon:
 
     def match(self, word: str) -> tuple[int, int] | None:
         """``(entry, edits)`` of the nearest term, or a stem's entry (after the terms); None without."""
-        if len(self._sets) > self._MAX_STATES:
-            self._reset()
-        state, stem, node = self._start, None, 0
+        steps, state = self._steps, self._start
         for letter in word:
-            if node is not None:
-                node = self.children[node].get(letter)
-                if node in self.stem_at:
-                    stem = self.stem_at[node]
-            if not self._sets[state]:
-                if node is None:
-                    break
-                continue
-            following = self._steps[state].get(letter)
+            following = steps[state].get(letter)
             state = self._step(state, letter) if following is None else following
-        hits = [
-            (e, self.term_at[n]) for n, e in self._sets[state] if n in self.term_at and e <= allowed_edits(self.terms[self.term_at[n]])
-        ]
-        best = min(hits) if hits else None
-        if best and best[0] == 0 or best and stem is None:
-            return best[1], best[0]
-        return (len(self.terms) + stem, 0) if stem is not None else None
+            if state == self._dead:
+                break
+        best = self._accepts[state]
+        if best is not None and best[1] == 0:
+            return best
+        if self._starts and word.startswith(self._starts):
+            return len(self.terms) + next(i for i, s in enumerate(self.stems) if word.startswith(s)), 0
+        return best
 
 
 def words_of(raw: str) -> list[str]:
     """Lower-case words in a token between blanks; digits and signs that stand for letters are replaced."""
+    if raw.isalpha():
+        return [raw.lower()]
     out = []
     for w in _WORD.findall(raw.lower()):
         if not w.isalpha() and any(c.isalpha() for c in w):
@@ -183,21 +182,19 @@ class Model:
 
     def hit(self, raw: str) -> tuple[int, int] | None:
         """Strongest match among the words of a token; remembered, up to a bound."""
-        try:
-            return self._known[raw]
-        except KeyError:
-            if len(self._known) > 300_000:
-                self._known.clear()
-            found = [m for w in words_of(raw) if (m := self.lexicon.match(w))]
-            best = min(found, key=lambda m: (m[1], m[0])) if found else None
-            self._known[raw] = best
-            return best
+        found = [m for w in words_of(raw) if (m := self.lexicon.match(w))]
+        best = min(found, key=lambda m: (m[1], m[0])) if found else None
+        if len(self._known) > 500_000:
+            self._known.clear()
+            self.lexicon.trim()
+        self._known[raw] = best
+        return best
 
     def hits(self, text: str) -> list[tuple[int, int, int, list[str]]]:
         """``(place, entry, edits, tokens)`` of each hit."""
         tokens = text.split()
-        hit = self.hit
-        matched = {t: m for t in set(tokens) if (m := hit(t))}
+        get, hit = self._known.get, self.hit
+        matched = {t: m for t in set(tokens) if (m := hit(t) if (m := get(t, 0)) == 0 else m)}
         if not matched:
             return []
         return [(i, *matched[t], tokens) for i, t in enumerate(tokens) if t in matched]
