@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import language_model, licences, mixing, near_duplicates, neighbours, packing, quality, sharding, toxicity
+from tallyroom.llm import language_model, licences, mixing, near_duplicates, neighbours, packing, quality, repeats, sharding, toxicity
 from tallyroom.llm.frames import remainder
 from tallyroom.session import configure
 
@@ -91,6 +91,12 @@ def min_max_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_groups(_table(spark, sf_dir, "documents"), width=4)
 
 
+@_query("op9_interleaved_repeats")
+def interleaved_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "_left.n_bytes", "_left.n_removed", "_left.n_spans", F.col("_left.sha256").alias("kept_sha256"))
+
+
 @_query("op10_licence_scan", licences.licence_sql())
 def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_scan(_table(spark, sf_dir, "documents"))
