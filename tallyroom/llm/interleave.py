@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 
-STEP = 8
+STEP = 40
 _SHARD = 1 << 18  # bytes of a shard
 
 
@@ -30,57 +30,57 @@ def _rotations(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _symbols(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The STEP bytes from each place on as one number (9 bits a byte would not fit: marks share 0 with byte 0)."""
+    """The STEP bytes from each place on as their rank among all such."""
     place = np.arange(len(raw)) - start
-    out = np.zeros(len(raw), dtype=np.uint64)
-    for j in range(STEP):
-        out = (out << np.uint64(8)) | np.maximum(raw[start + (place + j) % size] - 1, 0).astype(np.uint64)
-    return out
+
+    def then(first: np.ndarray, second: np.ndarray, width: int) -> np.ndarray:
+        """Ranks of what ``first`` ranks followed, ``width`` bytes on, by what ``second`` ranks."""
+        return np.unique(first * (second.max(initial=0) + 1) + second[start + (place + width) % size], return_inverse=True)[1]
+
+    six = np.zeros(len(raw), dtype=np.int64)
+    for j in range(6):  # nine bits a byte: the mark is a letter of its own
+        six = (six << 9) | raw[start + (place + j) % size]
+    six = np.unique(six, return_inverse=True)[1]
+    twelve = then(six, six, 6)
+    twenty_four = then(twelve, twelve, 12)
+    thirty_six = then(twenty_four, twelve, 24)
+    return then(thirty_six, six, 34)  # 34 to 39 overlap by two
 
 
 def _suffix_order(symbol: np.ndarray, start: np.ndarray, size: np.ndarray, depth: int) -> np.ndarray:
     """Places in the order of their first ``depth`` bytes at least, by doubling ranks."""
     place = np.arange(len(symbol)) - start
-    rank = np.unique(symbol, return_inverse=True)[1].astype(np.int64)
-    known = STEP
-    while known < depth and rank.max(initial=0) + 1 < len(rank):
-        _, rank = np.unique(rank * len(rank) + rank[start + (place + known) % size], return_inverse=True)
+    rank, known = symbol, STEP
+    while known < depth:
+        _, rank = np.unique(rank * (rank.max(initial=0) + 1) + rank[start + (place + known) % size], return_inverse=True)
         known *= 2
     return np.argsort(rank, kind="stable")
 
 
 def repeated_starts(strings: list[bytes], length: int) -> list[np.ndarray]:
     """For each string the places at which a ``length``-byte piece starts that also starts elsewhere among them.
-
-    Strings may hold any byte but are told apart from the marks only up to
-    byte 0, which valid text does not hold inside a piece that reaches a mark:
-    pieces are only reported where they lie inside their string.
     """
     if length % STEP:
         raise ValueError(f"the length must be a multiple of {STEP}")
     if not strings:
         return []
+    raw, start, extent = _rotations(strings)
+    symbol = _symbols(raw, start, extent)
+    ends = np.cumsum([len(s) + STEP for s in strings])
     before, link, places, base = [], [], [], 0
-    group: list[bytes] = []
-    size = 0
-    for i, s in enumerate(strings):
-        group.append(s)
-        size += len(s)
-        if size < _SHARD and i + 1 < len(strings):
+    for end in ends:
+        if end - base < _SHARD and end < len(raw):
             continue
-        raw, start, extent = _rotations(group)
-        symbol = _symbols(raw, start, extent)
-        order = _suffix_order(symbol, start, extent, length)
+        own = slice(base, int(end))
+        order = _suffix_order(symbol[own], start[own] - base, extent[own], length) + base
         at = np.empty(len(order), dtype=np.int64)
-        at[order] = np.arange(len(order))
+        at[order - base] = np.arange(base, end)
         earlier = start[order] + (order - start[order] - STEP) % extent[order]
         before.append(symbol[earlier])
-        link.append(at[earlier] + base)
-        places.append(order + base)
-        base += len(order)
-        group, size = [], 0
-    symbols, links = np.concatenate(before), np.concatenate(link)
-    symbols = np.unique(symbols, return_inverse=True)[1].astype(np.int32)
+        link.append(at[earlier - base])
+        places.append(order)
+        base = int(end)
+    symbols, links = np.concatenate(before).astype(np.int32), np.concatenate(link)
     here = np.arange(base)  # suffixes in merged order, as places in their shards' orders
     interval = np.zeros(base, dtype=np.int64)
     for _ in range(length // STEP):
@@ -94,6 +94,5 @@ def repeated_starts(strings: list[bytes], length: int) -> list[np.ndarray]:
         if not len(here):
             break
     found = np.sort(np.concatenate(places)[here])
-    ends = np.cumsum([len(s) + STEP for s in strings])
     parts = np.split(found, np.searchsorted(found, ends[:-1]))
     return [p[p + length <= e - STEP] - (e - STEP - len(s)) for p, e, s in zip(parts, ends, strings)]

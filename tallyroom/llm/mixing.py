@@ -155,6 +155,18 @@ def mix(
     )
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it, columns unchanged.
+
+    Rows of equal id and size are taken equally often (as the least taken).
+    """
+    taken = mix(docs, id_col, text_col, **options).where(F.col("taken") > 0)
+    times = taken.groupBy(F.col(id_col).alias("_id"), F.col("size").alias("_size")).agg(F.min(F.col("taken") / F.col("size")).cast("int").alias("_times"))
+    size = F.regexp_count(F.col(text_col), F.lit(WORD)).cast("bigint")
+    chosen = docs.join(small_side(durable(times, "mix-times")), F.col(id_col).eqNullSafe(F.col("_id")) & (size == F.col("_size")))
+    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+
+
 MIX_SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,

@@ -255,3 +255,11 @@ def near_duplicate_groups(
         F.coalesce("component", "id").alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """``docs`` with one row of each group, columns unchanged; rows without an id all stay."""
+    groups = near_duplicate_groups(docs, id_col, **options)
+    kept = durable(groups.where(F.col("kept") & F.col(id_col).isNotNull()).select(id_col).distinct(), "kept")
+    one = docs.join(small_side(kept), id_col, "left_semi").dropDuplicates([id_col])
+    return one.unionByName(docs.where(F.col(id_col).isNull()))

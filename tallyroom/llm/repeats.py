@@ -24,11 +24,12 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.llm.interleave import repeated_starts
@@ -96,9 +97,10 @@ def _ranges(starts: np.ndarray) -> list[tuple[int, int]]:
 def _anchored(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     """One row per different text: ``key``, ``copies``, ``n_bytes`` and its anchors."""
 
-    @F.pandas_udf("array<struct<fp:bigint,at:int,first:int,last:int>>")
-    def find(texts: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("fp", "at", "first", "last"), x)) for x in zip(*(c.tolist() for c in anchors(_blob(t), length)))] for t in texts])
+    @F.pandas_udf("fp array<bigint>, at array<int>, first array<int>, last array<int>")
+    def find(texts: pd.Series) -> pd.DataFrame:
+        rows = [anchors(_blob(t), length) for t in texts]
+        return pd.DataFrame({name: [r[i] for r in rows] for i, name in enumerate(("fp", "at", "first", "last"))})
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.sha2(text, 256).alias("key"), F.octet_length(text).cast("bigint").alias("n_bytes"), find(text).alias("anchors"))
@@ -120,7 +122,7 @@ def _some_texts(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
 
 def _contexts(docs: DataFrame, texts: DataFrame, text_col: str, length: int) -> DataFrame:
     """Contexts of anchors met more than once: where they stand, their anchor's place inside, and their bytes."""
-    each = texts.select("key", "copies", F.inline("anchors"))
+    each = texts.select("key", "copies", F.inline(F.arrays_zip("anchors.fp", "anchors.at", "anchors.first", "anchors.last")))
     often = each.groupBy("fp").agg(F.sum("copies").alias("times")).where("times > 1").select("fp")
     wanted = durable(
         each.join(often, "fp").groupBy("key", "copies").agg(F.collect_list(F.struct("fp", "at", "first", "last")).alias("anchors")),
@@ -144,14 +146,42 @@ def _contexts(docs: DataFrame, texts: DataFrame, text_col: str, length: int) ->
     return durable(both.select("key", "copies", F.inline(cut("text", "anchors"))), "repeat-contexts")
 
 
+def crops(fps: list[int], inside: list[int], contexts: list[bytes], length: int, step: int = ANCHOR) -> tuple[list, list, list, list]:
+    """What of each context can lie in a window that another context of its anchor holds.
+
+    Both must agree from the anchor outwards: a side is followed in steps of
+    ``step`` bytes as long as some other context reads the same up to there,
+    and one step more is kept. Contexts with too little left are left out.
+    Gives their numbers, contexts, and the bounds of what is kept.
+    """
+    seen: Counter = Counter()
+    sides = []
+    for fp, at, c in zip(fps, inside, contexts):
+        left = [hash((fp, k, 0, c[at - k * step : at])) for k in range(1, at // step + 1)]
+        right = [hash((fp, k, 1, c[at : at + k * step])) for k in range(1, (len(c) - at) // step + 1)]
+        seen.update(left)
+        seen.update(right)
+        sides.append((left, right))
+    out: tuple[list, list, list, list] = ([], [], [], [])
+    for i, (at, c, (left, right)) in enumerate(zip(inside, contexts, sides)):
+        lo = max(0, at - step * (sum(seen[h] > 1 for h in left) + 1))
+        hi = min(len(c), at + step * (sum(seen[h] > 1 for h in right) + 1))
+        if hi - lo >= length:
+            for column, x in zip(out, (i, c, lo, hi)):
+                column.append(x)
+    return out
+
+
 def _common_by_task(contexts: DataFrame, length: int) -> DataFrame:
     """``(digest, lo, hi)``: windows of a context that another context of its anchor holds too."""
 
     def search(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        found = repeated_starts(list(pdf["context"]), length)
-        for digest, starts in zip(pdf["digest"], found):
-            rows += [(digest, lo, hi) for lo, hi in _ranges(starts)]
+        cuts = crops(pdf["fp"].tolist(), pdf["inside"].tolist(), pdf["context"].tolist(), length)
+        found = repeated_starts([c[lo:hi] for _, c, lo, hi in zip(*cuts)], length)
+        digests = pdf["digest"].tolist()
+        for i, at, starts in zip(cuts[0], cuts[2], found):
+            rows += [(digests[i], lo + at, hi + at) for lo, hi in _ranges(starts)]
         return pd.DataFrame(rows, columns=["digest", "lo", "hi"])
 
     size = contexts.agg(F.coalesce(F.sum(F.length("context")), F.lit(0)).alias("n")).first().n
@@ -189,10 +219,10 @@ def repeated_ranges(docs: DataFrame, text_col: str = "text", length: int = LENGT
     texts = _anchored(docs, text_col, length)
     contexts = _contexts(docs, texts, text_col, length)
     kinds = durable(
-        contexts.groupBy("fp", "digest").agg(F.sum("copies").alias("times"), F.first("context").alias("context")), "repeat-kinds"
+        contexts.groupBy("fp", "digest").agg(F.sum("copies").alias("times"), F.first("inside").alias("inside"), F.first("context").alias("context")), "repeat-kinds"
     )
     per_anchor = kinds.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    several = kinds.join(per_anchor, "fp").select("fp", "digest", "context", "kinds")
+    several = kinds.join(per_anchor, "fp").select("fp", "digest", "inside", "context", "kinds")
     ranges = _common_by_task(several.where(F.col("kinds") <= MANY), length)
     many = durable(several.where(F.col("kinds") > MANY), "repeat-many")
     if many.limit(1).count():
@@ -249,3 +279,13 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     )
     key = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
     return docs.withColumn("_text_key", key).join(judged, F.col("_text_key") == F.col("_key")).drop("_text_key", "_key")
+
+
+def as_text(left: Column) -> Column:
+    """Text of the bytes, without the parts of characters that were cut."""
+
+    @F.pandas_udf("string")
+    def decode(blobs: pd.Series) -> pd.Series:
+        return blobs.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+
+    return decode(left)
