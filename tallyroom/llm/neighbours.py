@@ -33,11 +33,11 @@ from pyspark.sql import functions as F
 
 from tallyroom.sources.durable import durable
 
-SHARD_ROWS = 4096
+SHARD_ROWS = 16384
 QUERY_ROWS = 8192  # queries of a block
 LINKS = 16  # neighbours a node chooses; it may gather twice as many before they are thinned
 BUILD_WIDTH = 64
-SEARCH_WIDTH = 160
+SEARCH_WIDTH = 192
 _BATCH = 256
 
 

@@ -55,9 +55,7 @@ def _encoder(path: str):
     ``tokenizers`` itself.
     """
     import tiktoken
-    from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the file
@@ -66,10 +64,16 @@ def _encoder(path: str):
     ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
     fast = tiktoken.Encoding("own", pat_str=_PARTS, mergeable_ranks=ranks, special_tokens={})
 
+    @cache
+    def slow():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(path)
+
     def encode(text: str) -> np.ndarray:
         if _COMMON.fullmatch(text) and not any(s in text for s in special):
             return fast.encode_to_numpy(text, disallowed_special=()).astype("<u4")
-        return np.array(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return np.array(slow().encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     return encode
 

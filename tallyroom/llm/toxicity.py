@@ -39,7 +39,8 @@ from tallyroom.sources.durable import durable
 
 MAX_ROWS = 20_000  # labelled rows of the fit
 MAX_TERMS = 2_000
-MIN_DOCS = 5
+MIN_DOCS = 5  # toxic texts a term must stand in, and the share of them
+MIN_SHARE = 0.01
 MIN_LOG_ODDS = 2.5
 STEMS = range(4, 9)  # letters of a stem
 WINDOW = 6
@@ -64,7 +65,7 @@ class Lexicon:
     ``stems`` match any word that begins with them, without edits.
     """
 
-    _MAX_STATES = 50_000
+    _MAX_STATES = 20_000
 
     def __init__(self, terms: list[str], stems: list[str]):
         self.terms, self.stems = list(terms), list(stems)
@@ -184,7 +185,7 @@ class Model:
         """Strongest match among the words of a token; remembered, up to a bound."""
         found = [m for w in words_of(raw) if (m := self.lexicon.match(w))]
         best = min(found, key=lambda m: (m[1], m[0])) if found else None
-        if len(self._known) > 500_000:
+        if len(self._known) > 300_000:
             self._known.clear()
             self.lexicon.trim()
         self._known[raw] = best
@@ -239,13 +240,14 @@ def choose_terms(counts: list[tuple[str, bool, int, int]], n_pos: int, n_neg: in
         (t, s, p, float(log_odds(np.float64(p), np.float64(n), n_pos, n_neg)))
         for t, s, p, n in counts
     ]
-    rows = sorted((r for r in rows if r[2] >= MIN_DOCS and r[3] >= MIN_LOG_ODDS), key=lambda r: (-r[2], r[0]))[: 4 * MAX_TERMS]
+    least = max(MIN_DOCS, MIN_SHARE * n_pos)
+    rows = sorted((r for r in rows if r[2] >= least and r[3] >= MIN_LOG_ODDS), key=lambda r: (-r[2], r[0]))[: 4 * MAX_TERMS]
     words = {t: p for t, s, p, _ in rows if not s}
     stems: list[str] = []
     for t, s, p, _ in sorted(rows, key=lambda r: (len(r[0]), r[0])):
         if s and not any(t.startswith(k) for k in stems):
             most = max((q for w, q in words.items() if w.startswith(t)), default=0)
-            if p >= max(2 * MIN_DOCS, 1.5 * most):
+            if p >= max(2 * least, 1.5 * most):
                 stems.append(t)
     terms = [w for w in words if not any(w.startswith(k) for k in stems)]
     return terms[:MAX_TERMS], stems[:MAX_TERMS]
@@ -281,7 +283,7 @@ def fit(
     sample = durable(
         docs.where(F.col(text_col).isNotNull())
         .join(F.broadcast(chosen), F.col(id_col) == F.col("_label_id"))  # at most max_rows ids
-        .dropDuplicates(["_label_id"])
+        .dropDuplicates([text_col])  # copies are no further evidence
         .select(F.col(text_col).alias("text"), "y"),
         "toxicity-sample",
     )
