@@ -101,7 +101,7 @@ def incremental_bronze(spark: SparkSession, d: str) -> DataFrame:
     """Stream delivered files into bronze in two rounds; each file lands once."""
     root, raw = _folder(spark, "stream"), entity(spark, d, "raw_payments")
     columns = ENTITIES["payments"].columns
-    early = F.col("order_id").cast("bigint") < 5000
+    early = F.coalesce(F.col("order_id").try_cast("bigint") < 5000, F.lit(False))
     for part in (raw.where(early), raw.where(~early)):
         sinks.write_csv(part.select(*columns), f"{root}/src", mode="append")
         ingest_stream(spark, "payments", f"{root}/src", f"{root}/bronze", f"{root}/state").awaitTermination()

@@ -57,7 +57,7 @@ def value_counts(df: DataFrame, cfg: DriftConfig) -> DataFrame:
         F.struct(
             F.lit(f).alias("feature"),
             F.lit("numeric").alias("kind"),
-            _clean_value(F.col(f).cast("double")).alias("value"),
+            _clean_value(F.col(f).try_cast("double")).alias("value"),
             F.lit(None).cast("string").alias("category"),
         )
         for f in cfg.numeric

@@ -21,6 +21,7 @@ CSV_OPTIONS = {
     "multiLine": "true",
     "escape": '"',
     "encoding": "UTF-8",
+    "mode": "FAILFAST",  # a row with more or fewer cells than the header fails the load
 }
 LINEAGE = ("_loaded_at", "_source_file", "_batch_id")
 
@@ -31,7 +32,7 @@ RATES_SCHEMA = T.StructType(
         T.StructField("fetched_at", T.StringType()),
         T.StructField("base_code", T.StringType()),
         T.StructField("time_last_update_utc", T.StringType()),
-        T.StructField("rates", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("rates", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 
@@ -91,8 +92,8 @@ def read_json_records(
     loaded_at: str | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Read a JSON array of records, or one record."""
-    reader = spark.read.option("multiLine", "true")
+    """Read a JSON array of records, or one record. A malformed file fails the read."""
+    reader = spark.read.option("multiLine", "true").option("mode", "FAILFAST")
     raw = reader.schema(schema).json(path) if schema is not None else reader.json(path)
     columns = [F.col(c) for c in raw.columns if c not in LINEAGE]
     return stamped(raw, columns, batch_id or new_batch_id(), loaded_at or utc_now())
@@ -116,9 +117,15 @@ def rates_columns() -> list[Column]:
 
 
 def explode_rates(df: DataFrame) -> DataFrame:
-    """One row per currency of a frame with the rates document's columns."""
+    """One row per currency of a frame with the rates document's columns.
+
+    A rate that is no number is an error, not a missing rate.
+    """
     kept = [c for c in df.columns if c not in RATES_SCHEMA.names]
     exploded = df.select(*kept, *rates_columns(), F.explode("rates").alias("currency_code", "rate"))
+    number = F.col("rate").try_cast("double")
+    unreadable = F.raise_error(F.concat(F.lit("unreadable rate: "), F.col("currency_code"), F.lit(" = "), F.col("rate").cast("string")))
+    exploded = exploded.withColumn("rate", F.when(F.col("rate").isNull() | number.isNotNull(), number).otherwise(unreadable.cast("double")))
     return exploded.select("currency_code", "rate", "base_currency", "fetched_at", *kept)
 
 
@@ -130,6 +137,7 @@ def read_exchange_rates(
     folder, _, pattern = glob.rpartition("/")
     raw = (
         spark.read.option("multiLine", "true")
+        .option("mode", "FAILFAST")
         .option("pathGlobFilter", pattern)
         .schema(RATES_SCHEMA)
         .json(folder or ".")

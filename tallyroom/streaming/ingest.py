@@ -19,6 +19,16 @@ def replace_batch(df: DataFrame, path: str, batch_id: str) -> None:
     df.drop("_batch_id").write.mode("overwrite").parquet(f"{path.rstrip('/')}/_batch_id={batch_id}")
 
 
+def batch_name(spark: SparkSession, stream_id: str, checkpoint: str, number: int) -> str:
+    """Name of a micro-batch: the same when it is replayed, different between streams.
+
+    The checkpoint's own id is in it, so two streams into one target, or one
+    whose checkpoint was lost, never meet in a directory.
+    """
+    query = spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first().id
+    return f"{stream_id}-{query}-{number}"
+
+
 def ingest_stream(
     spark: SparkSession,
     name: str,
@@ -31,7 +41,8 @@ def ingest_stream(
     """Append each new file of a CSV entity once; stops when none is left.
 
     Rows carry the same lineage columns as a full load; the batch id is the
-    stream's name and the number of the micro-batch.
+    stream's name, its checkpoint's id and the number of the micro-batch. A
+    malformed row stops the stream.
     """
     columns = ENTITIES[name].columns
     files = (
@@ -43,7 +54,7 @@ def ingest_stream(
 
     def write(batch: DataFrame, number: int) -> None:
         stamped = batch.withColumn("_loaded_at", F.lit(utc_now()))
-        replace_batch(stamped, dst, f"{stream_id}-{number}")
+        replace_batch(stamped, dst, batch_name(spark, stream_id, checkpoint, number))
 
     return (
         files.writeStream.foreachBatch(write)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyroom.plans.learning import TrainConfig
 from tallyroom.plans.scoring import audit, derive_features, score, validate_requests
 from tallyroom.sources.readers import utc_now
-from tallyroom.streaming.ingest import replace_batch
+from tallyroom.streaming.ingest import batch_name, replace_batch
 
 REQUEST_SCHEMA = (
     "review_comment_message string, delivery_delay_days double, review_comment_length int, "
@@ -34,11 +34,15 @@ def score_stream(
     requests = spark.readStream.schema(REQUEST_SCHEMA).json(src)
 
     def write(batch: DataFrame, number: int) -> None:
-        valid, rejected = validate_requests(batch)
-        scored = score(model, derive_features(valid), cfg)
-        root, batch_id = dst.rstrip("/"), f"{stream_id}-{number}"
-        replace_batch(audit(scored, utc_now()), f"{root}/audit", batch_id)
-        replace_batch(rejected, f"{root}/rejected", batch_id)
+        root, batch_id = dst.rstrip("/"), batch_name(spark, stream_id, checkpoint, number)
+        batch.persist()  # read once, written twice
+        try:
+            valid, rejected = validate_requests(batch)
+            scored = score(model, derive_features(valid), cfg)
+            replace_batch(audit(scored, utc_now()), f"{root}/audit", batch_id)
+            replace_batch(rejected, f"{root}/rejected", batch_id)
+        finally:
+            batch.unpersist()
 
     return (
         requests.writeStream.foreachBatch(write)

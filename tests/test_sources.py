@@ -169,10 +169,47 @@ def test_incremental_files_land_once(spark, tmp_path):
         return sinks.read_bronze(spark, dst)
 
     (tmp_path / "src/a.csv").write_text(header + "s1,01,,SP\n")
-    assert [(r.seller_id, r.seller_city, r._source_file, r._batch_id) for r in run().collect()] == [
-        ("s1", "", "a.csv", "stream-0")
+    first = run()
+    query = json.loads((tmp_path / "state/metadata").read_text())["id"]
+    assert [(r.seller_id, r.seller_city, r._source_file, r._batch_id) for r in first.collect()] == [
+        ("s1", "", "a.csv", f"stream-{query}-0")
     ]
     (tmp_path / "src/b.csv").write_text(header + 's2,02,"two\nlines",RJ\n')
     assert run().count() == 2
     again = run()
     assert again.count() == 2 and again.select("_batch_id").distinct().count() == 2
+
+
+def _write(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text, encoding="utf-8")
+
+
+RATES = '{"base":"USD","fetched_at":"2024-01-01","rates":{"BRL":%s,"EUR":0.9}}'
+
+
+@pytest.mark.parametrize(
+    "rates, success", [(RATES % "4.9", True), (RATES % '"x"', False), (RATES[:40], False)], ids=["good", "unreadable", "cut off"]
+)
+def test_malformed_rates_fail_their_load(spark, tmp_path, rates, success):
+    _write(tmp_path / "data" / ENTITIES["exchange_rates"].folder / "exchange_rates_1.json", rates)
+    report = load_all(spark, LakePaths(str(tmp_path / "data"), str(tmp_path / "bronze")), names=("exchange_rates",)).first()
+    assert (report.success, report.error == "") == (success, success)
+    assert report.n_rows == (2 if success else 0)
+
+
+@pytest.mark.parametrize("row, success", [("o1,1,boleto,1,9.5", True), ("o1,1,boleto,1,9.5,extra", False)])
+def test_surplus_cells_fail_their_load(spark, tmp_path, row, success):
+    entity = ENTITIES["payments"]
+    _write(tmp_path / "data" / entity.folder / entity.files.replace("*", "x"), ",".join(entity.columns) + "\n" + row + "\n")
+    report = load_all(spark, LakePaths(str(tmp_path / "data"), str(tmp_path / "bronze")), names=("payments",)).first()
+    assert report.success == success
+
+
+def test_two_streams_fill_one_target(spark, tmp_path):
+    columns = ENTITIES["payments"].columns
+    for name in ("a", "b"):
+        _write(tmp_path / name / "part.csv", ",".join(columns) + f"\n{name},1,boleto,1,9.5\n")
+        for _ in range(2):  # the second run finds nothing new
+            ingest_stream(spark, "payments", str(tmp_path / name), str(tmp_path / "out"), str(tmp_path / f"state-{name}")).awaitTermination()
+    assert sorted(r.order_id for r in sinks.read_bronze(spark, str(tmp_path / "out")).collect()) == ["a", "b"]
