@@ -25,6 +25,7 @@ PASSAGE_BYTES = 240
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, fitted on the labelled ones among them, finds not toxic."""
+    configure(spark)
     model = toxicity_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = toxicity.score(docs.withColumn("_all", F.struct("*")).select("_all", F.col("text").alias("_text")), model, "_text")
     return scored.where(F.col("toxicity") < 0.5).select("_all.*")
@@ -32,11 +33,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id."""
+    configure(spark)
     return near_duplicates.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that stand in the corpus more than once; partly cut characters go too."""
+    configure(spark)
     left = repeats.remove_repeats(docs, length=PASSAGE_BYTES)
     text = F.when(F.col("_left.n_removed") > 0, repeats.as_text(F.col("_left.left"))).otherwise(F.col("text"))
     return left.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
@@ -44,11 +47,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    configure(spark)
     return mixing.mixed(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and place in it."""
+    configure(spark)
     pieces = packing.token_pieces(docs, tokenizer_path())
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 

@@ -39,7 +39,7 @@ from tallyroom.sources.durable import durable
 LENGTH = 400
 ANCHOR = 64  # bytes
 MANY = 2048  # contexts of an anchor for one task
-TASK_BYTES = 2 << 20
+TASK_BYTES = 1 << 20
 BROADCAST_KEYS = 200_000
 _CHUNK = 1 << 16
 _BASE = 0xD6E8FEB86659FD93
