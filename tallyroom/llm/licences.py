@@ -4,7 +4,9 @@ Each line of a document, and its whole text, is normalised (A-Z lowered, all
 but a-z and 0-9 to one blank) and cut into the set of its word pairs. A
 template with m pairs and a unit with n can only reach Dice 2i/(n+m) >= t if
 t*m/(2-t) <= n <= (2-t)*m/t, so units meet templates by an equality join on n:
-the templates, a fixed list, are listed once per admissible n. Only built-in
+the templates, a fixed list, are listed once per admissible n. Before that,
+units are dropped that lack telling words of every template: without them so
+many pairs are missing that t cannot be reached. Only built-in
 functions run; nothing of a document is shuffled but the hits and its id.
 
 Nulls and empty texts have no units and give a row without licence. Equal
@@ -69,6 +71,52 @@ def size_range(m: int, threshold: float) -> range:
     return range(max(1, math.ceil(low - 1e-9)), math.floor(high + 1e-9) + 1)
 
 
+STEM = 6  # letters of a telling word that are looked for
+
+
+def telling_words(notices: list[list[str]], threshold: float) -> list[list[list[str]]]:
+    """Per notice (its words), groups of words: a unit that reaches ``threshold`` with it holds a word of each group.
+
+    With m pairs, at least i = t * (n + m) / 2 >= t * m / (2 - t) are shared. A
+    group's words stand in more than m - i pairs, so a unit without any of them
+    lacks too many. Words are cut to ``STEM`` letters (what holds a word holds
+    its stem). Groups are filled in turn: stems of earlier notices' first groups
+    come first, then those with digits, then the longest.
+    """
+    taken: set[str] = set()
+    out: dict[int, list[list[str]]] = {}
+    for i in sorted(range(len(notices)), key=lambda i: len(notices[i])):
+        words = [w[:STEM] for w in notices[i]]
+        spots = list(dict.fromkeys(zip(notices[i], notices[i][1:])))
+        spare = len(spots) - math.ceil(threshold * len(spots) / (2 - threshold) - 1e-9)
+        groups: list[list[str]] = []
+        group: list[str] = []
+        covered: set[tuple[str, str]] = set()
+        for stem in sorted(set(words), key=lambda w: (w not in taken, w.isalpha(), -len(w), w)):
+            group.append(stem)
+            covered |= {p for p in spots if stem in (p[0][:STEM], p[1][:STEM])}
+            if len(covered) > spare:
+                groups.append(group)
+                group, covered = [], set()
+        if groups:
+            taken.update(groups[0])
+        out[i] = groups
+    return [out[i] for i in range(len(notices))]
+
+
+def may_name(column: str, telling: list[list[list[str]]]) -> Column:
+    """Whether a text holds a word of each of some notice's first telling groups; it is lowered once for all words."""
+
+    def any_of(stems: list[str]) -> str:
+        return "(" + " OR ".join(f"contains(x, '{w}')" for w in stems) + ")"
+
+    firsts = list(dict.fromkeys(w for groups in telling for w in groups[0]))
+    if not firsts:
+        return F.lit(False)
+    one = " OR ".join(dict.fromkeys("(" + " AND ".join(any_of(g) for g in groups[:4]) + ")" for groups in telling))
+    return F.expr(f"exists(array(lower({column})), x -> {any_of(firsts)} AND ({one}))")
+
+
 def licence_scan(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -79,21 +127,23 @@ def licence_scan(
     """One row per document: its best licence, that Dice score, and how many licences it names."""
     spark = docs.sparkSession
     known = small_frame(spark, [(i, n, t) for i, (n, t) in enumerate(templates)], "t bigint, licence string, notice string")
-    sized = known.select("t", "licence", word_pairs(normalised(F.col("notice"))).alias("of")).withColumn("m", F.size("of"))
-    fits = small_frame(
-        spark,
-        [(r.t, n) for r in sized.select("t", "m").collect() for n in size_range(r.m, threshold)],  # the fixed list
-        "t bigint, n int",
-    )
-    sized = sized.join(fits, "t")
-    widest = max([n for _, text in templates for n in size_range(len(text), threshold)], default=0)
+    plain = known.withColumn("plain", normalised(F.col("notice")))
+    sized = plain.select("t", "licence", "plain", word_pairs(F.col("plain")).alias("of")).withColumn("m", F.size("of"))
+    listed = sized.select("t", "m", "plain").collect()  # the fixed list
+    sizes = [(r.t, n) for r in listed for n in size_range(r.m, threshold)]
+    sized = sized.drop("plain").join(small_frame(spark, sizes, "t bigint, n int"), "t")
+    widest = max([n for _, n in sizes], default=0)
+    # a notice of fewer than two words has no pairs and is never found
+    telling = telling_words([r.plain.split(" ") for r in listed if r.m], threshold)
 
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     lines = F.split("_text", "\n")
     units = (
-        texts.where(F.col("_text").isNotNull())
+        texts.where(F.col("_text").isNotNull() & may_name("_text", telling))
         .select("_id", F.explode(F.when(F.size(lines) > 1, F.concat(lines, F.array("_text"))).otherwise(lines)).alias("unit"))
-        .select("_id", word_pairs(normalised(F.col("unit"))).alias("pairs"))
+        .where(may_name("unit", telling))
+        # as a generated column the pairs are made once, not again in each condition on them
+        .select("_id", F.explode(F.array(word_pairs(normalised(F.col("unit"))))).alias("pairs"))
         .withColumn("n", F.size("pairs"))
         .where(F.col("n").between(1, widest))
     )

@@ -316,3 +316,29 @@ def test_pipeline_stages(spark):
         assert stage(spark, docs.limit(0), SMALL).count() == 0
     rows = corpus_pipeline.run(spark, SMALL).collect()
     assert rows and max(r.offset + r.length for r in rows) <= packing.MAX_TOKENS
+
+
+def test_licences_against_brute_force(spark):
+    """Notices with words lost, added and swapped, around the threshold."""
+    plain = lambda t: re.sub("[^a-z0-9]+", " ", t.lower()).strip().split(" ")
+    pairs = lambda words: set(zip(words, words[1:]))
+    rng, texts = np.random.default_rng(5), []
+    for _, notice in licences.TEMPLATES:
+        for lost in (0.0, 0.05, 0.1, 0.2, 0.3):
+            words = [w for w in notice.split(" ") if rng.random() >= lost]
+            texts.append("prose of no licence\n" + " ".join(words + ["so", "it", "is"][: int(rng.integers(0, 4))]))
+    want = []
+    for i, text in enumerate(texts):
+        found = {}
+        for unit in [*text.split("\n"), text]:
+            a = pairs(plain(unit))
+            for name, notice in licences.TEMPLATES:
+                b = pairs(plain(notice))
+                dice = 2 * len(a & b) / max(1, len(a) + len(b))
+                if dice >= 0.8:
+                    found[name] = max(dice, found.get(name, 0.0))
+        best = min(found, key=lambda name: (-found[name], name)) if found else None
+        want.append((i, best, found.get(best, 0.0), len(found)))
+    got = [tuple(r) for r in licences.licence_scan(frame(spark, texts)).orderBy("doc_id").collect()]
+    assert 20 < sum(w[3] > 0 for w in want) < len(want)
+    assert [(g[0], g[1], round(g[2], 12), g[3]) for g in got] == [(w[0], w[1], round(w[2], 12), w[3]) for w in want]
