@@ -9,6 +9,17 @@ units are dropped that lack telling words of every template: without them so
 many pairs are missing that t cannot be reached. Only built-in
 functions run; nothing of a document is shuffled but the hits and its id.
 
+With ``parts``, any run of words of a document is a unit too, across lines,
+and whole licence texts are looked for as well as notices. A run reaches its
+best Dice with a template from the first to the last pair of stretches of
+template pairs (a template pair at the edge never lowers it, another never
+raises it), so only such runs are scored: those that hold at least
+t*m/(2-t) template pairs in at most (2-t)/t times the template's length. The
+For templates of ``LONG`` pairs and more, where that is too many, runs start at
+stretches of at least four pairs and have ``LONG_SIZES``: a text just above t
+may be missed there. The places of template pairs are found by an equality join on the pair; texts that
+go in are those with telling words or, for long texts, enough of their words.
+
 Nulls and empty texts have no units and give a row without licence. Equal
 scores go to the licence whose name sorts first. Rows that repeat a doc_id
 repeat its result. Only the named columns are read, so extra ones do no harm.
@@ -17,12 +28,15 @@ repeat its result. Only the named columns are read, so extra ones do no harm.
 from __future__ import annotations
 
 import math
+import re
+from collections import defaultdict
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroom.llm.frames import fold_ascii
-from tallyroom.sources.durable import small_frame
+from tallyroom.sources.durable import durable, small_frame
 
 # Notices as the licences word them.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -47,24 +61,47 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
+#: Further notices that only the scan of parts looks for.
+PART_NOTICES: tuple[tuple[str, str], ...] = (
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+)
+
+
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """The licence texts kept beside this module."""
+    files = sorted((resources.files("tallyroom.llm") / "licence_texts").iterdir(), key=lambda f: f.name)
+    return tuple((f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in files if f.name.endswith(".txt"))
+
 
 def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(fold_ascii(text), "[^a-z0-9]+", " "))
 
 
-def word_pairs(plain: Column) -> Column:
-    """Distinct pairs of neighbouring words of a normalised text."""
+def all_pairs(plain: Column) -> Column:
+    """Pairs of neighbouring words of a normalised text, in order."""
     words = F.split(plain, " ")
     # pair i is (word i, word i + 1): zip the words with themselves, one further
-    return F.array_distinct(
-        F.zip_with(
-            F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
-            F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-            lambda a, b: F.concat_ws(" ", a, b),
-        )
+    return F.zip_with(
+        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
+        F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
+        lambda a, b: F.concat_ws(" ", a, b),
     )
 
 
+def word_pairs(plain: Column) -> Column:
+    """Distinct pairs of neighbouring words of a normalised text."""
+    return F.array_distinct(all_pairs(plain))
+
+
+def plain_words(text: str) -> list[str]:
+    """The words of a template, as ``normalised`` parts them."""
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    return re.sub("[^a-z0-9]+", " ", lowered).strip(" ").split(" ")
+
+
 def size_range(m: int, threshold: float) -> range:
     """Pair counts a unit may have to reach ``threshold`` with m pairs."""
     low, high = threshold * m / (2 - threshold), (2 - threshold) * m / threshold
@@ -117,14 +154,121 @@ def may_name(column: str, telling: list[list[list[str]]]) -> Column:
     return F.expr(f"exists(array(lower({column})), x -> {any_of(firsts)} AND ({one}))")
 
 
+LONG = 300  # pairs from which a text is told by how many of its words are there
+LONG_SIZES = (0.67, 0.8, 0.9, 1.0, 1.1, 1.25, 1.5)  # of such a text, of the runs compared with it
+
+
+def least_words(words: list[str], threshold: float) -> int:
+    """Distinct words of a template that a text reaching ``threshold`` with it must hold.
+
+    Words left out take their pairs along, each pair at most twice counted: the
+    most words are left out if they are those with the fewest pairs.
+    """
+    spots = set(zip(words, words[1:]))
+    spare = 2 * (len(spots) - math.ceil(threshold * len(spots) / (2 - threshold) - 1e-9))
+    pairs_of: dict[str, set] = defaultdict(set)
+    for p in spots:
+        for w in p:
+            pairs_of[w].add(p)
+    left = 0
+    for n in sorted(len(p) for p in pairs_of.values()):
+        if n > spare:
+            break
+        spare, left = spare - n, left + 1
+    return len(pairs_of) - left
+
+
+def may_hold(column: str, templates: list[list[str]], threshold: float) -> Column:
+    """Whether a text has enough different words of some long template; it is cut once for all of them."""
+    if not templates:
+        return F.lit(False)
+    least = [least_words(words, threshold) for words in templates]
+    pairs = [math.ceil(threshold * len(set(zip(w, w[1:]))) / (2 - threshold) - 1e-9) for w in templates]
+    listed = lambda words: F.split(F.lit(" ".join(sorted(words))), " ")
+
+    def enough(own: Column) -> Column:
+        found = F.lit(False)
+        for words, n in zip(templates, least):
+            found = found | (F.size(F.array_intersect(own, listed(set(words)))) >= n)
+        return found
+
+    known = F.array_intersect(F.split(normalised(F.col(column)), " "), listed({w for words in templates for w in words}))
+    # a pair takes two letters and two blanks at least, less one
+    return (F.length(column) >= 2 * min(pairs) + 1) & F.exists(F.array(known), lambda own: (F.size(own) >= min(least)) & enough(own))
+
+
+def part_hits(texts: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+    """``(_id, licence, dice)`` of the runs of words in ``(_id, _text)`` that reach ``threshold`` with a template."""
+    spark = texts.sparkSession
+    words = [(name, plain_words(notice)) for name, notice in templates]
+    words = [(name, w) for name, w in words if len(w) > 1]
+    pairs = [list(dict.fromkeys(" ".join(p) for p in zip(w, w[1:]))) for _, w in words]
+    least = [math.ceil(threshold * len(p) / (2 - threshold) - 1e-9) for p in pairs]
+    widest = [math.floor((2 - threshold) * (len(w) - 1) / threshold + 1e-9) for _, w in words]
+    telling = telling_words([w for (_, w), p in zip(words, pairs) if len(p) < LONG], threshold)
+    long = [w for (_, w), p in zip(words, pairs) if len(p) >= LONG]
+    places = small_frame(spark, [(p, t) for t, own in enumerate(pairs) for p in own], "pair string, t int")
+    limits = small_frame(
+        spark,
+        [(t, least[t], widest[t], len(w) - 1, len(pairs[t]) >= LONG) for t, (_, w) in enumerate(words)],
+        "t int, least int, widest int, width int, long boolean",
+    )
+    known = small_frame(spark, [(t, name, own, len(own)) for t, ((name, _), own) in enumerate(zip(words, pairs))], "t int, licence string, of array<string>, m int")
+
+    chosen = durable(
+        texts.where(F.col("_text").isNotNull() & (may_name("_text", telling) | may_hold("_text", long, threshold)))
+        .select("_id", F.xxhash64("_text").alias("_hash"), normalised(F.col("_text")).alias("_plain")),
+        "licence-texts",
+    )
+    spots = (
+        chosen.select("_id", "_hash", F.posexplode(all_pairs(F.col("_plain"))).alias("pos", "pair"))
+        .join(F.broadcast(places), "pair")
+        .groupBy("_id", "_hash", "t")
+        .agg(F.sort_array(F.collect_set("pos")).alias("at"))
+        .join(F.broadcast(limits), "t")
+        .where(F.size("at") >= F.col("least"))
+    )
+    # i and j count places from 1; a stretch starts where the place before is not the one next to it
+    starts = """filter(sequence(1, size(at) - least + 1), i ->
+        (i = 1 OR get(at, i - 2) < get(at, i - 1) - 1) AND get(at, i + least - 2) - get(at, i - 1) < widest
+        AND (NOT long OR get(at, i + 2) - get(at, i - 1) = 3))"""
+    ends = """filter(sequence(i + least - 1, size(at)), j ->
+        (j = size(at) OR get(at, j) > get(at, j - 1) + 1)
+        AND (get(at, j - 1) - get(at, i - 1) < widest OR get(at, j - 1) - get(at, i - 1) = j - i))"""
+    # long templates: the pairs that a run of each size holds
+    sizes = f"""filter(array_distinct(transform(array({", ".join(f"{f}D" for f in LONG_SIZES)}), f ->
+        size(filter(at, x -> x < get(at, i - 1) + ceil(f * width))))), j -> j >= i + least - 1)"""
+    runs = (
+        spots.withColumn("i", F.explode(F.expr(starts)))
+        .withColumn("j", F.explode(F.expr(f"if(long, {sizes}, {ends})")))
+        .groupBy("_id", "_hash")
+        .agg(F.collect_set(F.struct("t", F.expr("get(at, i - 1)").alias("lo"), F.expr("get(at, j - 1)").alias("hi"))).alias("runs"))
+        .select(F.col("_id").alias("_of"), F.col("_hash").alias("_hash_of"), "runs")
+    )
+    part = F.slice("pairs", F.col("run.lo") + 1, F.col("run.hi") - F.col("run.lo") + 1)
+    return (
+        chosen.join(runs, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_hash") == F.col("_hash_of")))
+        .select("_id", "runs", F.explode(F.array(all_pairs(F.col("_plain")))).alias("pairs"))
+        .select("_id", "pairs", F.explode("runs").alias("run"))
+        .join(F.broadcast(known), F.col("run.t") == F.col("t"))
+        .select("_id", "licence", (F.lit(2.0) * F.size(F.array_intersect(part, F.col("of"))) / (F.size(F.array_distinct(part)) + F.col("m"))).alias("dice"))
+        .where(F.col("dice") >= threshold)
+    )
+
+
 def licence_scan(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     threshold: float = 0.8,
     templates: tuple[tuple[str, str], ...] = TEMPLATES,
+    parts: bool = False,
 ) -> DataFrame:
-    """One row per document: its best licence, that Dice score, and how many licences it names."""
+    """One row per document: its best licence, that Dice score, and how many licences it names.
+
+    Without ``parts``, units are lines and the whole text; with it, also runs of
+    words in them, and whole licence texts count as templates.
+    """
     spark = docs.sparkSession
     known = small_frame(spark, [(i, n, t) for i, (n, t) in enumerate(templates)], "t bigint, licence string, notice string")
     plain = known.withColumn("plain", normalised(F.col("notice")))
@@ -152,9 +296,11 @@ def licence_scan(
         units.join(F.broadcast(sized), "n")  # a few thousand rows, from the fixed list
         .withColumn("dice", F.lit(2.0) * shared / (F.col("n") + F.col("m")))
         .where(F.col("dice") >= threshold)
-        .groupBy("_id", "licence")
-        .agg(F.max("dice").alias("dice"))
+        .select("_id", "licence", "dice")
     )
+    if parts:
+        hits = hits.unionByName(part_hits(texts, [*templates, *PART_NOTICES, *whole_texts()], threshold))
+    hits = hits.groupBy("_id", "licence").agg(F.max("dice").alias("dice"))
     best = Window.partitionBy("_id").orderBy(F.col("dice").desc(), "licence")
     per_doc = (
         hits.select("_id", "licence", "dice", F.row_number().over(best).alias("at"), F.count(F.lit(1)).over(Window.partitionBy("_id")).alias("n_licences"))

@@ -99,4 +99,4 @@ def interleaved_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op10_licence_scan", licences.licence_sql())
 def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.licence_scan(_table(spark, sf_dir, "documents"))
+    return licences.licence_scan(_table(spark, sf_dir, "documents"), parts=True)

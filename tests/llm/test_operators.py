@@ -342,3 +342,38 @@ def test_licences_against_brute_force(spark):
     got = [tuple(r) for r in licences.licence_scan(frame(spark, texts)).orderBy("doc_id").collect()]
     assert 20 < sum(w[3] > 0 for w in want) < len(want)
     assert [(g[0], g[1], round(g[2], 12), g[3]) for g in got] == [(w[0], w[1], round(w[2], 12), w[3]) for w in want]
+
+
+def test_licences_in_parts_of_documents(spark, tmp_path):
+    """Wrapped headers, notices within a line and whole licence texts, through the registered query."""
+    whole = dict(licences.whole_texts())
+    prose = "nothing of note happens in these words of the story " * 60
+    header = "\n".join(f" * {' '.join(w)}" for w in itertools.batched(dict(licences.PART_NOTICES)["GPL-2.0"].split(), 9))
+    texts = [
+        prose + "\n" + header + "\n" + prose,
+        "Copyright 2020 X. Released under the MIT License.",
+        "Copyright 2020 X\n\n" + whole["MIT"],
+        prose + whole["GPL-3.0"] + prose,
+        prose + whole["Apache-2.0"].replace("Contributor", "Giver") + prose,
+        prose + "\nReleased under the\nMIT License. " * 2 + prose,
+        prose + "released under the law", None, "",
+    ]
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.QUERIES["op10_licence_scan"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [r.licence for r in rows] == ["GPL-2.0", "MIT", "MIT", "GPL-3.0", "Apache-2.0", "MIT", None, None, None]
+    assert [round(r.dice, 9) for r in rows[:4]] == [1.0] * 4
+
+
+def test_runs_of_words_against_all_windows(spark):
+    plain, rng = licences.plain_words, random.Random(8)
+    notice = "released under the mit license and the mit terms apply"
+    b = set(zip(plain(notice), plain(notice)[1:]))
+    texts = [" ".join(rng.choice([*notice.split(), "x", "y"]) if rng.random() < 0.3 else w for w in notice.split() * 2) for _ in range(60)]
+    want = []
+    for i, text in enumerate(texts):
+        pairs = list(zip(plain(text), plain(text)[1:]))
+        best = max(2 * len(set(pairs[lo:hi]) & b) / (len(set(pairs[lo:hi])) + len(b)) for lo in range(len(pairs)) for hi in range(lo + 1, min(len(pairs), lo + 13) + 1))
+        want.append((i, round(best, 9) if best >= 0.8 else 0.0))
+    source = frame(spark, texts).selectExpr("doc_id as _id", "text as _text")
+    found = {r._id: r.dice for r in licences.part_hits(source, [("MIT", notice)], 0.8).groupBy("_id").agg(F.max("dice").alias("dice")).collect()}
+    assert [(i, round(found.get(i, 0.0), 9)) for i in range(60)] == want and 5 < len(found) < 60
