@@ -4,8 +4,9 @@ Two histograms of a text are compared with those of each reference language by
 Jensen-Shannon distance (base 2, square root of the divergence: 0 to 1): the
 shares of character classes, and the shares of the language's commonest words
 with one class for all others. A text passes if some reference is near in
-both; how near depends on its length. References are the languages that hold at least 1 % of all words (so
-there are at most 100); their counts cover all texts.
+both; how near depends on its length. References are the languages with at
+least ``REFERENCE_WORDS`` words and, in small tables, those with 1 % of all
+words; their counts cover all texts.
 
 Guards: a text under ``min_words`` words fails, as does one in which more than
 half of the words lie in repeated three-word windows. Null texts count as
@@ -30,7 +31,8 @@ from tallyroom.sources.durable import durable
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
 COMMON = 100  # words of a language's histogram
-MIN_SHARE = 0.01  # of all words, to be a reference
+REFERENCE_WORDS = 10_000  # words of a language, to be a reference
+MIN_SHARE = 0.01  # or share of all words
 #: Distance (base, slack) up to which a text of n words counts as near: base + slack / sqrt(n),
 #: since the histogram of a short text strays from its language's by chance.
 MAX_CHARS = (0.12, 1.0)
@@ -85,7 +87,7 @@ class Reference:
 
 
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON) -> list[Reference]:
-    """Histograms of the languages that hold ``MIN_SHARE`` of all words."""
+    """Histograms of the languages that hold ``REFERENCE_WORDS`` words or ``MIN_SHARE`` of all."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -106,7 +108,7 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     )
     words = counts.where(F.col("kind") == "word").groupBy("lang").agg(F.sum("n").alias("total"))
     share = F.col("total") / F.sum("total").over(Window.partitionBy())  # one row per language
-    large = words.withColumn("share", share).where(F.col("share") >= MIN_SHARE).select("lang", "total").collect()  # at most 100
+    large = words.withColumn("share", share).where((F.col("total") >= REFERENCE_WORDS) | (F.col("share") >= MIN_SHARE)).select("lang", "total").collect()  # one row per language
     if not large:
         return []
     total = {r.lang: r.total for r in large}

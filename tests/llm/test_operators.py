@@ -377,3 +377,16 @@ def test_runs_of_words_against_all_windows(spark):
     source = frame(spark, texts).selectExpr("doc_id as _id", "text as _text")
     found = {r._id: r.dice for r in licences.part_hits(source, [("MIT", notice)], 0.8).groupBy("_id").agg(F.max("dice").alias("dice")).collect()}
     assert [(i, round(found.get(i, 0.0), 9)) for i in range(60)] == want and 5 < len(found) < 60
+
+
+def test_small_language_beside_a_large_one_is_a_reference(spark):
+    """12,000 words of a language are under 1 % of all, but enough for a reference."""
+    rng = np.random.default_rng(9)
+    weights = 1 / np.arange(1, 301) ** 0.7
+    prose = lambda letter, n: " ".join(f"{letter}{k}" for k in rng.choice(300, n, p=weights / weights.sum()))
+    rows = [(i, prose("grand", 32_000), "large") for i in range(40)] + [(100 + i, prose("petit", 200), "small") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    refs = quality.references(docs)
+    assert [r.lang for r in refs] == ["large", "small"]
+    kept = [r for r in quality.judge(docs.where("lang = 'small'"), refs).collect() if r.kept and r.nearest_lang == "small"]
+    assert len(kept) >= 57
