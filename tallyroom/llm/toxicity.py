@@ -5,7 +5,8 @@ words, found far more often in toxic texts than in others. It stands in a
 trie. A Levenshtein automaton (edits allowed: 0 under four letters, 1 up to
 seven, 2 from eight) is intersected with the trie; the product automaton is
 made deterministic lazily, state by state, so a word costs one table step a
-letter. Look-alike digits and signs are read as letters first. Misspelled hits
+letter. Look-alike digits and signs are read as letters first; other signs
+among the letters of a token are also left out. Misspelled hits
 count by how much more often the term's misspellings stand in toxic labelled
 texts than in others, so a term whose neighbours are ordinary words gains
 nothing from them.
@@ -53,6 +54,7 @@ _REPORT = frozenset(
 )
 _SECOND = frozenset("you your you're u du dich dir dein deine ihr euch tu te toi ton ta vous votre tú ti usted eres ustedes".split())
 _WORD = re.compile(r"[^\W_](?:[^\W_]|[@$](?=\w))*")
+_EDGES, _SIGNS = re.compile(r"^[\W_]+|[\W_]+$"), re.compile(r"[\W_]+")
 
 
 def allowed_edits(term: str) -> int:
@@ -164,6 +166,15 @@ def words_of(raw: str) -> list[str]:
     return out
 
 
+def unmasked(raw: str) -> str | None:
+    """A token with signs among its letters ("id*ot", "i.d.i.o.t") as one word without them; None for others."""
+    token = _EDGES.sub("", raw.lower())
+    if token.isalnum() or len(token) > 60:
+        return None
+    word = _SIGNS.sub("", token.translate(_LOOKS))
+    return word if word.isalpha() and 4 <= len(word) <= 30 and word not in words_of(raw) else None
+
+
 @dataclass
 class Model:
     lexicon: Lexicon
@@ -184,6 +195,8 @@ class Model:
     def hit(self, raw: str) -> tuple[int, int] | None:
         """Strongest match among the words of a token; remembered, up to a bound."""
         found = [m for w in words_of(raw) if (m := self.lexicon.match(w))]
+        if (joined := unmasked(raw)) and (m := self.lexicon.match(joined)):
+            found.append((m[0], max(1, m[1])))  # masked letters count as a misspelling
         best = min(found, key=lambda m: (m[1], m[0])) if found else None
         if len(self._known) > 300_000:
             self._known.clear()
@@ -249,8 +262,8 @@ def choose_terms(counts: list[tuple[str, bool, int, int]], n_pos: int, n_neg: in
             most = max((q for w, q in words.items() if w.startswith(t)), default=0)
             if p >= max(2 * least, 1.5 * most):
                 stems.append(t)
-    terms = [w for w in words if not any(w.startswith(k) for k in stems)]
-    return terms[:MAX_TERMS], stems[:MAX_TERMS]
+    # words that a stem covers stay terms: stems take no edits, so their misspellings are found by the trie
+    return list(words)[:MAX_TERMS], stems[:MAX_TERMS]
 
 
 def _fit_weights(x: np.ndarray, y: np.ndarray, prior: np.ndarray, strength: np.ndarray) -> np.ndarray:

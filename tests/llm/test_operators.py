@@ -390,3 +390,14 @@ def test_small_language_beside_a_large_one_is_a_reference(spark):
     assert [r.lang for r in refs] == ["large", "small"]
     kept = [r for r in quality.judge(docs.where("lang = 'small'"), refs).collect() if r.kept and r.nearest_lang == "small"]
     assert len(kept) >= 57
+
+
+def test_misspelled_and_masked_words_of_a_family():
+    counts = [("idiot", False, 40, 0), ("idiots", False, 40, 0), ("idiotic", False, 40, 0), ("idio", True, 100, 0)]
+    terms, stems = toxicity.choose_terms(counts, 1000, 9000)
+    assert stems == ["idio"] and set(terms) == {"idiot", "idiots", "idiotic"}
+    n = len(terms) + len(stems)
+    model = toxicity.Model(toxicity.Lexicon(terms, stems), np.full(n, 7.0), np.full(n, 3.0), toxicity.Model.PRIOR)
+    for raw in ("ideot", "id*ot", "i.d.i.o.t!", "(1-d-1-0-t)"):
+        assert model.hit(raw)[1] >= 1, raw
+    assert model.hit("idiotically")[1] == 0 and model.hit("i.e.") is None and model.hit("well-known") is None
