@@ -40,8 +40,8 @@ from tallyroom.sources.durable import durable
 
 MAX_ROWS = 20_000  # labelled rows of the fit
 MAX_TERMS = 2_000
-MIN_DOCS = 5  # toxic texts a term must stand in, and the share of them
-MIN_SHARE = 0.01
+MIN_DOCS = 5  # toxic texts a term must stand in
+MAX_CHANCE = 1e-4  # that a word without meaning stands in so many toxic texts among those it is in
 MIN_LOG_ODDS = 2.5
 STEMS = range(4, 9)  # letters of a stem
 WINDOW = 6
@@ -68,6 +68,7 @@ class Lexicon:
     """
 
     _MAX_STATES = 20_000
+    _MAX_HELD = 1_000_000  # trie nodes in all states
 
     def __init__(self, terms: list[str], stems: list[str]):
         self.terms, self.stems = list(terms), list(stems)
@@ -96,14 +97,15 @@ class Lexicon:
 
     def _reset(self) -> None:
         self._ids: dict[frozenset, int] = {}
+        self._held = 0
         self._sets: list[frozenset] = []
         self._steps: list[dict[str, int]] = []
         self._accepts: list[tuple[int, int] | None] = []
         self._start, self._dead = self._state({0: 0}), self._state({})
 
     def trim(self) -> None:
-        """Forget the states built so far if they have become many."""
-        if len(self._sets) > self._MAX_STATES:
+        """Forget the states built so far if they have become many or large."""
+        if len(self._sets) > self._MAX_STATES or self._held > self._MAX_HELD:
             self._reset()
 
     def _state(self, cost: dict[int, int]) -> int:
@@ -120,6 +122,7 @@ class Lexicon:
         if key not in self._ids:
             self._ids[key] = len(self._sets)
             self._sets.append(key)
+            self._held += len(key)
             self._steps.append({})
             ends = [(e, self.term_at[n]) for n, e in key if n in self.term_at and e <= allowed_edits(self.terms[self.term_at[n]])]
             self._accepts.append((min(ends)[1], min(ends)[0]) if ends else None)
@@ -200,7 +203,7 @@ class Model:
         best = min(found, key=lambda m: (m[1], m[0])) if found else None
         if len(self._known) > 300_000:
             self._known.clear()
-            self.lexicon.trim()
+        self.lexicon.trim()
         self._known[raw] = best
         return best
 
@@ -243,6 +246,15 @@ def log_odds(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int, prior: fl
     return np.log((pos + prior) / (n_pos + 2 * prior)) - np.log((neg + prior) / (n_neg + 2 * prior))
 
 
+def chance(pos: int, neg: int, n_pos: int, n_neg: int) -> float:
+    """Probability that ``pos`` or more of ``pos + neg`` texts are toxic if the term says nothing."""
+    n, q = pos + neg, min(max(n_pos / max(1, n_pos + n_neg), 1e-12), 1 - 1e-12)
+    log_n = math.lgamma(n + 1)
+    return sum(
+        math.exp(log_n - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(q) + (n - k) * math.log1p(-q)) for k in range(pos, n + 1)
+    )
+
+
 def choose_terms(counts: list[tuple[str, bool, int, int]], n_pos: int, n_neg: int) -> tuple[list[str], list[str]]:
     """Terms and stems from ``(text, is stem, toxic texts, other texts)``.
 
@@ -252,15 +264,15 @@ def choose_terms(counts: list[tuple[str, bool, int, int]], n_pos: int, n_neg: in
     rows = [
         (t, s, p, float(log_odds(np.float64(p), np.float64(n), n_pos, n_neg)))
         for t, s, p, n in counts
+        if p >= MIN_DOCS and chance(p, n, n_pos, n_neg) <= MAX_CHANCE
     ]
-    least = max(MIN_DOCS, MIN_SHARE * n_pos)
-    rows = sorted((r for r in rows if r[2] >= least and r[3] >= MIN_LOG_ODDS), key=lambda r: (-r[2], r[0]))[: 4 * MAX_TERMS]
+    rows = sorted((r for r in rows if r[3] >= MIN_LOG_ODDS), key=lambda r: (-r[2], r[0]))[: 4 * MAX_TERMS]
     words = {t: p for t, s, p, _ in rows if not s}
     stems: list[str] = []
     for t, s, p, _ in sorted(rows, key=lambda r: (len(r[0]), r[0])):
         if s and not any(t.startswith(k) for k in stems):
             most = max((q for w, q in words.items() if w.startswith(t)), default=0)
-            if p >= max(2 * least, 1.5 * most):
+            if p >= max(2 * MIN_DOCS, 1.5 * most):
                 stems.append(t)
     # words that a stem covers stay terms: stems take no edits, so their misspellings are found by the trie
     return list(words)[:MAX_TERMS], stems[:MAX_TERMS]

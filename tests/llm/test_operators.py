@@ -401,3 +401,16 @@ def test_misspelled_and_masked_words_of_a_family():
     for raw in ("ideot", "id*ot", "i.d.i.o.t!", "(1-d-1-0-t)"):
         assert model.hit(raw)[1] >= 1, raw
     assert model.hit("idiotically")[1] == 0 and model.hit("i.e.") is None and model.hit("well-known") is None
+
+
+def test_rare_terms_are_learned_from_many_labels():
+    counts = [("slur", False, 15, 0), ("rare", False, 5, 0), ("chance", False, 5, 40), ("often", False, 400, 10)]
+    terms, _ = toxicity.choose_terms(counts, 2000, 18000)
+    assert set(terms) == {"slur", "rare", "often"}
+    lexicon = toxicity.Lexicon(["idiot", "worthless"], [])
+    lexicon._MAX_HELD = 50
+    for word in ("idiot", "ideot", "worthles", "prose"):
+        lexicon.match(word)
+        lexicon.trim()
+        assert lexicon._held <= 50
+    assert lexicon.match("ideot") == (0, 1)
