@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import language_model, licences, mixing, near_duplicates, neighbours, packing, quality, repeats, sharding, toxicity
+from tallyroom.llm import language_model, licences, mixing, near_duplicates, neighbours, packing, quality, repeats, runs, sharding, toxicity
 from tallyroom.llm.frames import remainder
 from tallyroom.session import configure
 
@@ -100,3 +100,25 @@ def interleaved_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_licence_scan", licences.licence_sql())
 def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_scan(_table(spark, sf_dir, "documents"), parts=True)
+
+
+def described_runs(docs: DataFrame) -> DataFrame:
+    """Count, digest and strongest run of the runs in each text, after some texts were made to go round."""
+    found = docs.select("doc_id", runs.runs_of(runs.cycled(F.col("doc_id"), F.col("text"))).alias("found")).select("doc_id", "found.*")
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@_query("op13_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return described_runs(_table(spark, sf_dir, "documents"))
