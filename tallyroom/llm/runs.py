@@ -250,15 +250,17 @@ def cycled(key: Column, text: Column) -> Column:
     their first 1 + floor((n - a) / (3 + floor(h / 10) mod 8)). Other texts,
     those without words, and rows without a key stay as they are.
     """
-    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"))
-    h = F.crc32(key.cast("string"))
-    g = F.floor(h / 10)
-
-    def turn(words: Column) -> Column:
-        n = F.size(words).cast("bigint")
-        a = F.pmod(g, n)
-        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
-        place = F.sequence(F.lit(0).cast("bigint"), n - 1)
-        return F.array_join(F.transform(place, lambda i: words[F.when(i >= a, a + F.pmod(i - a, p)).otherwise(i).cast("int")]), " ")
-
-    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), turn(words)).otherwise(text)
+
+    def turn(hashes: pa.Array, texts: pa.Array) -> pa.Array:
+        out = []
+        for h, text in zip(hashes.to_pylist(), texts.to_pylist()):
+            words = text.encode("utf-8", "surrogatepass").split() if text and h is not None and h % 10 == 0 else []
+            if words:
+                n, g = len(words), h // 10
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                text = b" ".join([*words[:a], *(words[a + i % p] for i in range(n - a))]).decode("utf-8", "surrogatepass")
+            out.append(text)
+        return pa.array(out, pa.string())
+
+    return F.arrow_udf(turn, "string")(F.crc32(key.cast("string")), text)
