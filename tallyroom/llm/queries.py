@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import language_model, licences, mixing, near_duplicates, neighbours, packing, quality, repeats, runs, sharding, toxicity
+from tallyroom.llm import language_model, licences, mixing, near_duplicates, neighbours, packing, quality, repeats, runs, sharding, string_kernel, toxicity
 from tallyroom.llm.frames import remainder
 from tallyroom.session import configure
 
@@ -122,3 +122,12 @@ def described_runs(docs: DataFrame) -> DataFrame:
 @_query("op13_periodic_runs")
 def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return described_runs(_table(spark, sf_dir, "documents"))
+
+
+@_query("op12_string_kernel_language")
+def string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    model = string_kernel.fit(docs, ~held_out)
+    told = docs.select("doc_id", held_out.alias("held_out"), string_kernel.language_of(spark, model, F.col("text")).alias("found"))
+    return told.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
