@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import language_model, licences, mixing, near_duplicates, neighbours, packing, quality, repeats, runs, sharding, string_kernel, toxicity
+from tallyroom.llm import language_model, licences, mixing, near_duplicates, neighbours, packing, prefix_trie, quality, repeats, runs, sharding, string_kernel, toxicity
 from tallyroom.llm.frames import remainder
 from tallyroom.session import configure
 
@@ -131,3 +131,10 @@ def string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = string_kernel.fit(docs, ~held_out)
     told = docs.select("doc_id", held_out.alias("held_out"), string_kernel.language_of(spark, model, F.col("text")).alias("found"))
     return told.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
+@_query("op11_conversation_prefix_trie")
+def conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("conv_id")
+    rows = prefix_trie.prefixes(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.graft(rows, key - key % 5, remainder(key, 9)))
