@@ -12,7 +12,7 @@ and sorted, sums per partition give each partition's offset, and a window runs
 inside each partition only. All of it is DataFrame operations.
 
 Null text: size 0. Null source: a source of its own, after all others. Empty
-documents take no part (taken 0). Repeated rows count each; entries with equal
+documents take no part (taken 0); a source of nothing else has target 0. Repeated rows count each; entries with equal
 id are ordered by size. An empty table gives an empty result.
 """
 
@@ -106,15 +106,13 @@ def mix(
     placed = running_total(sized, order, "size", "upto")
     queued = durable(
         placed.join(small_side(starts), F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("first", (F.col("upto") - F.col("start")) / F.col("target"))
-        .withColumn("cycle", F.col("source_size") / F.col("target"))
-        .select("id", "source", "size", "place", "source_size", "target", "first", "cycle", (F.col("upto") - F.col("start")).alias("upto")),
+        .select("id", "source", "size", "place", "source_size", "target", (F.col("upto") - F.col("start")).alias("upto")),
         "mix-queued",
     )
 
     def finish(copy: Column) -> Column:
-        """Virtual finish time of the entry's n-th standing in the queue."""
-        return (F.col("upto") + F.col("source_size") * copy) / F.col("target")
+        """Virtual finish time of the entry's n-th standing in the queue; null in a source without words."""
+        return (F.col("upto") + F.col("source_size") * copy) / F.nullif(F.col("target"), F.lit(0.0))
 
     key = ["finish", "source", "place", "size", "copy"]
     entries = (
@@ -159,12 +157,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opt
     """``docs`` with each row as often as the mix takes it, columns unchanged.
 
     Rows of equal id and size are taken equally often (as the least taken).
+    Columns may have any names: the rows travel as one struct.
     """
     taken = mix(docs, id_col, text_col, **options).where(F.col("taken") > 0)
-    times = taken.groupBy(F.col(id_col).alias("_id"), F.col("size").alias("_size")).agg(F.min(F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    size = F.regexp_count(F.col(text_col), F.lit(WORD)).cast("bigint")
-    chosen = docs.join(small_side(durable(times, "mix-times")), F.col(id_col).eqNullSafe(F.col("_id")) & (size == F.col("_size")))
-    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+    times = taken.groupBy(F.col(id_col).alias("_id"), F.col("size").alias("_size")).agg(F.min(F.col("taken") / F.col("size")).cast("int").alias("times"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.regexp_count(F.col(text_col), F.lit(WORD)).cast("bigint").alias("size"))
+    chosen = rows.join(small_side(durable(times, "mix-times")), F.col("id").eqNullSafe(F.col("_id")) & (F.col("size") == F.col("_size")))
+    return chosen.select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
 
 
 MIX_SQL = f"""

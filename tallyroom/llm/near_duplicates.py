@@ -257,9 +257,14 @@ def near_duplicate_groups(
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one row of each group, columns unchanged; rows without an id all stay."""
-    groups = near_duplicate_groups(docs, id_col, **options)
-    kept = durable(groups.where(F.col("kept") & F.col(id_col).isNotNull()).select(id_col).distinct(), "kept")
-    one = docs.join(small_side(kept), id_col, "left_semi").dropDuplicates([id_col])
-    return one.unionByName(docs.where(F.col(id_col).isNull()))
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group, columns unchanged, whatever their names.
+
+    Of rows with equal id and text one stays; different texts under one id
+    share its fate and stay if one of them does. Rows without an id all stay.
+    """
+    groups = near_duplicate_groups(docs, id_col, text_col, **options)
+    kept = durable(groups.where(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct(), "kept")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h"), F.md5(F.col(text_col)).alias("digest"))
+    one = rows.where(F.col("id").isNotNull()).join(small_side(kept), "id", "left_semi").dropDuplicates(["id", "h", "digest"])
+    return one.unionByName(rows.where(F.col("id").isNull())).select("row.*")

@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyroom.llm.frames import small_side
 from tallyroom.llm.interleave import repeated_starts
 from tallyroom.llm.words import U64, _powers, mix
 from tallyroom.sources.durable import durable
@@ -123,9 +124,10 @@ def _some_texts(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
 def _contexts(docs: DataFrame, texts: DataFrame, text_col: str, length: int) -> DataFrame:
     """Contexts of anchors met more than once: where they stand, their anchor's place inside, and their bytes."""
     each = texts.select("key", "copies", F.inline(F.arrays_zip("anchors.fp", "anchors.at", "anchors.first", "anchors.last")))
-    often = each.groupBy("fp").agg(F.sum("copies").alias("times")).where("times > 1").select("fp")
+    # Written, so that the join below meets two plain shuffles and a very common passage can be split.
+    often = durable(each.groupBy("fp").agg(F.sum("copies").alias("times")).where("times > 1").select("fp"), "repeat-often")
     wanted = durable(
-        each.join(often, "fp").groupBy("key", "copies").agg(F.collect_list(F.struct("fp", "at", "first", "last")).alias("anchors")),
+        each.join(small_side(often), "fp").groupBy("key", "copies").agg(F.collect_list(F.struct("fp", "at", "first", "last")).alias("anchors")),
         "repeat-wanted",
     )
 

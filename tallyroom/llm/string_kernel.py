@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroom.llm.words import U64, mix
-from tallyroom.sources.durable import durable
+from tallyroom.sources.durable import durable, small_frame
 
 GRAMS = (1, 2, 3, 4)
 BITS = 22
@@ -177,13 +177,17 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str =
     labelled = docs.where(train & text.isNotNull() & lang.isNotNull() & text.rlike(r"\p{L}")).select(lang.alias("lang"), text.alias("text"), F.xxhash64(text).alias("code"))
     # Copies of a text meet before the shuffle; then the smallest hashes of each language.
     different = durable(labelled.groupBy("lang", "code").agg(F.count(F.lit(1)).alias("n")), "language-texts")
-    sizes = {r.lang: r.n for r in different.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # one row per language
+    found = different.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()  # one row per language
+    sizes = {r.lang: r.n for r in found}
     if not sizes:
         return Model([], np.empty(0, dtype=np.int64), np.empty((0, 0), dtype=np.float32))
     langs = sorted(sizes, key=lambda x: (-sizes[x], x))
     each = max(LEAST_ROWS, rows // len(langs))
     by_code = Window.partitionBy("lang").orderBy("code")
-    chosen = different.withColumn("at", F.row_number().over(by_code)).where(F.col("at") <= each).select("lang", "code", "at")
+    # Hashes are spread evenly: the smallest of a language lie below twice their share of the whole range.
+    limits = [(r.lang, min((1 << 63) - 1, -(1 << 63) + (2 * each << 64) // r.texts)) for r in found]
+    low = different.join(F.broadcast(small_frame(spark, limits, "lang string, code_limit bigint")), "lang").where(F.col("code") <= F.col("code_limit"))
+    chosen = low.withColumn("at", F.row_number().over(by_code)).where(F.col("at") <= each).select("lang", "code", "at")
     # As many rows as asked for, so their narrow keys can be broadcast.
     sample = durable(labelled.join(F.broadcast(chosen), ["lang", "code"]).dropDuplicates(["lang", "code"]).repartition(TASKS, "code"), "language-sample")
 

@@ -54,7 +54,7 @@ _REPORT = frozenset(
 )
 _SECOND = frozenset("you your you're u du dich dir dein deine ihr euch tu te toi ton ta vous votre tú ti usted eres ustedes".split())
 _WORD = re.compile(r"[^\W_](?:[^\W_]|[@$](?=\w))*")
-_EDGES, _SIGNS = re.compile(r"^[\W_]+|[\W_]+$"), re.compile(r"[\W_]+")
+_SIGNS = re.compile(r"[\W_]+")
 
 
 def allowed_edits(term: str) -> int:
@@ -171,7 +171,10 @@ def words_of(raw: str) -> list[str]:
 
 def unmasked(raw: str) -> str | None:
     """A token with signs among its letters ("id*ot", "i.d.i.o.t") as one word without them; None for others."""
-    token = _EDGES.sub("", raw.lower())
+    token = raw.lower()
+    first = next((i for i, c in enumerate(token) if c.isalnum()), len(token))
+    last = next((i for i in range(len(token), first, -1) if token[i - 1].isalnum()), first)
+    token = token[first:last]
     if token.isalnum() or len(token) > 60:
         return None
     word = _SIGNS.sub("", token.translate(_LOOKS))
@@ -308,8 +311,10 @@ def fit(
     sample = durable(
         docs.where(F.col(text_col).isNotNull())
         .join(F.broadcast(chosen), F.col(id_col) == F.col("_label_id"))  # at most max_rows ids
-        .dropDuplicates([text_col])  # copies are no further evidence
-        .select(F.col(text_col).alias("text"), "y"),
+        .groupBy(F.col(text_col).alias("text"))  # copies are no further evidence, texts labelled both ways are none
+        .agg(F.min("y").alias("y"), F.max("y").alias("_y"))
+        .where(F.col("y") == F.col("_y"))
+        .select("text", "y"),
         "toxicity-sample",
     )
     sizes = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
