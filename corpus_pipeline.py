@@ -6,7 +6,8 @@ read again for the next. All but the last return the columns of ``documents``.
 
 Nulls, empty texts, repeated rows and empty tables are treated as each
 operator states. Rows without an id are kept by the filters, as they cannot be
-told apart by id. Other columns, whatever their names, pass through.
+told apart by id. Other columns, whatever their names, pass through: the rows
+travel as one struct.
 """
 
 from __future__ import annotations
@@ -40,9 +41,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that stand in the corpus more than once; partly cut characters go too."""
     configure(spark)
-    left = repeats.remove_repeats(docs, length=PASSAGE_BYTES)
+    left = repeats.remove_repeats(docs.select(F.struct("*").alias("row"), "text"), length=PASSAGE_BYTES)
     text = F.when(F.col("_left.n_removed") > 0, repeats.as_text(F.col("_left.left"))).otherwise(F.col("text"))
-    return left.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    cut = left.select("row", text.alias("text"))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
+    return cut.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
