@@ -9,7 +9,6 @@ from tallyroom.entry.adapters import entity, with_sql
 from tallyroom.entry.book import plain, query
 from tallyroom.functions.exprs import round_half_away
 from tallyroom.operators import drift as D
-from tallyroom.sources.durable import durable
 
 CONFIG = D.DriftConfig(numeric=("value",), categorical=("event_type",))
 _STAMP = "2024-02-01T00:00:00+00:00"
@@ -99,7 +98,7 @@ _SEVERITY = "CASE WHEN {0} >= 0.25 THEN 'high' WHEN {0} >= 0.1 THEN 'warning' EL
 
 @query("drift_psi", _BOTH + " SELECT feature, kind, round(psi, 6) AS psi FROM scores")
 def drift_psi(spark: SparkSession, d: str) -> DataFrame:
-    baseline = durable(D.profile(entity(spark, d, "drift_before"), CONFIG), "profile")
+    baseline = D.profile(entity(spark, d, "drift_before"), CONFIG)
     current = D.profile_like(entity(spark, d, "drift_after"), baseline, CONFIG)
     return _rounded(D.psi(baseline, current), "psi")
 
@@ -120,7 +119,7 @@ SELECT feature, kind, round(psi, 6) AS psi, {_SEVERITY.format("psi")} AS severit
 FROM scores""",
 )
 def drift_report(spark: SparkSession, d: str) -> DataFrame:
-    baseline = durable(D.profile(entity(spark, d, "drift_before"), CONFIG), "profile")
+    baseline = D.profile(entity(spark, d, "drift_before"), CONFIG)
     _, features = D.drift_report(baseline, entity(spark, d, "drift_after"), CONFIG)
     return _rounded(
         features, "baseline_mean", "current_mean", "baseline_null_rate", "current_null_rate"
@@ -140,6 +139,6 @@ SELECT 'checked' AS status, b AS baseline_rows, c AS current_rows,
 FROM worst, sizes""",
 )
 def drift_summary(spark: SparkSession, d: str) -> DataFrame:
-    baseline = durable(D.profile(entity(spark, d, "drift_before"), CONFIG), "profile")
+    baseline = D.profile(entity(spark, d, "drift_before"), CONFIG)
     summary, _ = D.drift_report(baseline, entity(spark, d, "drift_after"), CONFIG)
     return summary.drop("baseline_created_at")

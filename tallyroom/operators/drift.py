@@ -8,7 +8,8 @@ row_count, created_at``
 Numeric bins are right-closed between the baseline's deciles, and the last
 bin holds the NULL share. Categorical bins are the baseline's categories in
 text order, and the last bin pools values the baseline does not know. All
-features of a frame are counted in one pass and one shuffle.
+features of a frame are binned and counted in one pass; only counts per bin
+are shuffled.
 """
 
 from __future__ import annotations
@@ -18,9 +19,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyroom.functions.exprs import round_half_away
-from tallyroom.operators.ranking import sorted_runs, weighted_quantiles, with_rank
+from tallyroom.operators.ranking import sorted_runs, with_rank
+from tallyroom.operators.selection import extents, order_key, quantiles
 from tallyroom.sources.durable import durable, small_frame
 from tallyroom.sources.readers import utc_now
 from tallyroom.sources.sinks import append_json, overwrite_json
@@ -29,6 +32,9 @@ from tallyroom.sources.sinks import append_json, overwrite_json
 DECILES = tuple(i / 10 for i in range(1, 10))
 NULL_CATEGORY = "__NULL__"
 SMALLEST_SHARE = 1e-6
+#: Categories of all features together up to which a profile is put together
+#: from collected counts; more are numbered and joined as a table.
+CATEGORIES = 10_000
 
 
 @dataclass(frozen=True)
@@ -51,167 +57,173 @@ def _clean_value(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def value_counts(df: DataFrame, cfg: DriftConfig) -> DataFrame:
-    """``feature, kind, value, category, n``: every feature counted in one pass."""
-    cells = [
-        F.struct(
-            F.lit(f).alias("feature"),
-            F.lit("numeric").alias("kind"),
-            _clean_value(F.col(f).try_cast("double")).alias("value"),
-            F.lit(None).cast("string").alias("category"),
-        )
-        for f in cfg.numeric
-    ] + [
-        F.struct(
-            F.lit(f).alias("feature"),
-            F.lit("categorical").alias("kind"),
-            F.lit(None).cast("double").alias("value"),
-            F.coalesce(F.col(f).cast("string"), F.lit(NULL_CATEGORY)).alias("category"),
-        )
-        for f in cfg.categorical
-    ]
-    return (
-        df.select(F.inline(F.array(*cells)))
-        .groupBy("feature", "kind", "value", "category")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def _number(feature: str) -> Column:
+    return _clean_value(F.col(feature).try_cast("double"))
 
 
-def _bin_of(cuts: dict[str, list[float]]) -> Column:
-    """Numeric bin: cutpoints strictly below the value; NULLs after the last bin."""
-    bin_no = F.lit(None).cast("int")
-    for feature, points in cuts.items():
-        array = F.array(*[F.lit(p) for p in points]) if points else F.array().cast("array<double>")
-        below = F.size(F.filter(array, lambda c: c < F.col("value")))
-        at = F.when(F.col("value").isNull(), len(points) + 1).otherwise(below)
-        bin_no = F.when(F.col("feature") == feature, at).otherwise(bin_no)
-    return bin_no
+def _category(feature: str) -> Column:
+    return F.coalesce(F.col(feature).cast("string"), F.lit(NULL_CATEGORY))
 
 
-SPINE = "feature string, kind string, bin int, lower double, upper double, category string"
+def _binned(
+    df: DataFrame, cfg: DriftConfig, cuts: dict[str, list[float]], known: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """``feature, bin, category, n, total``: all features counted in one pass.
 
+    Values are binned where they are read, so only counts and sums per bin
+    meet in a shuffle. Numeric bins count the cutpoints below the value, NULL
+    follows the last. Categories that are not ``known`` become NULL there;
+    without a list all are counted.
+    """
+    cells = []
+    for f in cfg.numeric:
+        value = _number(f)
+        below = sum(((value > F.lit(c)).cast("int") for c in cuts[f]), F.lit(0))
+        at = F.when(value.isNull(), F.lit(len(cuts[f]) + 1)).otherwise(below)
+        cells.append((f, at, F.lit(None).cast("string"), value))
+    for f in cfg.categorical:
+        category = _category(f)
+        if known is not None:
+            category = F.when(category.isin(known.get(f, [])), category)
+        cells.append((f, F.lit(None).cast("int"), category, F.lit(None).cast("double")))
+    names = ("feature", "bin", "category", "value")
+    rows = F.array(*[F.struct(*[c.alias(n) for n, c in zip(names, (F.lit(f), *rest))]) for f, *rest in cells])
+    return (
+        df.select(F.inline(rows))
+        .groupBy("feature", "bin", "category")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    )
 
-def _numeric_spine(spark: SparkSession, cuts: dict[str, list[float]]) -> DataFrame:
-    """Every numeric bin, also the empty ones: at most eleven per feature."""
-    rows = []
-    for feature, points in cuts.items():
-        edges = [None, *points, None]
-        rows += [(feature, "numeric", b, edges[b], edges[b + 1], None) for b in range(len(points) + 1)]
-        rows.append((feature, "numeric", len(points) + 1, None, None, None))
-    return small_frame(spark, rows, SPINE)
 
+PROFILE = (
+    "feature string, kind string, bin int, lower double, upper double, category string, proportion double, "
+    "null_rate double, mean double, row_count bigint, created_at string"
+)
 
-def _categorical_spine(runs: DataFrame, features: Sequence[str]) -> DataFrame:
-    """The categories in text order and, per feature, a last bin for others."""
-    ranked = with_rank(runs, "at").where(F.col("kind") == "categorical")
-    ends = ranked.groupBy("feature").agg(
-        F.min("at").alias("first_at"), F.count(F.lit(1)).cast("int").alias("m")
-    )
-    own = ranked.join(F.broadcast(ends), "feature").select(  # one row per feature
-        "feature", (F.col("at") - F.col("first_at")).cast("int").alias("bin"), "category"
-    )
-    wanted = small_frame(runs.sparkSession, [(f,) for f in features], "feature string")
-    others = wanted.join(ends, "feature", "left").select(
-        "feature", F.coalesce("m", F.lit(0)).alias("bin"), F.lit(None).cast("string").alias("category")
-    )
-    return own.unionByName(others).select(
-        "feature",
-        F.lit("categorical").alias("kind"),
-        "bin",
-        F.lit(None).cast("double").alias("lower"),
-        F.lit(None).cast("double").alias("upper"),
-        "category",
-    )
 
+def _numeric_rows(counts: list, cfg: DriftConfig, cuts: dict[str, list[float]], rows: int, created_at: str) -> list[tuple]:
+    """Profile rows of the numeric features, empty bins included: at most eleven per feature."""
+    out = []
+    for f in cfg.numeric:
+        mine = {r.bin: r for r in counts if r.feature == f}
+        missing = mine[len(cuts[f]) + 1].n if len(cuts[f]) + 1 in mine else 0
+        total = sum(mine[b].total for b in sorted(mine) if b <= len(cuts[f]))
+        mean = total / (rows - missing) if rows > missing else None
+        edges = [None, *cuts[f], None]
+        for b in range(len(cuts[f]) + 2):
+            lower, upper = edges[b : b + 2] if b <= len(cuts[f]) else (None, None)
+            share = mine[b].n / rows if b in mine else 0.0
+            out.append((f, "numeric", b, lower, upper, None, share, missing / rows if rows else 0.0, mean, rows, created_at))
+    return out
 
-def _filled(counts: DataFrame, cuts: dict[str, list[float]], spine: DataFrame) -> DataFrame:
-    """Shares of the counted values in the bins of a spine.
 
-    All features go through one join with the known categories and one
-    aggregation to bins. The NULL share of a numeric feature is its last bin;
-    unknown categories meet in the spine row without a category.
-    """
-    other = F.lit(-1)
-    categories = spine.where(F.col("category").isNotNull()).select(
-        "feature", "category", F.col("bin").alias("known_bin")
-    )
-    binned = (
-        counts.join(categories, ["feature", "category"], "left")
-        .withColumn(
-            "slot",
-            F.when(F.col("kind") == "numeric", _bin_of(cuts)).otherwise(F.coalesce("known_bin", other)),
-        )
-        .groupBy("feature", "slot")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing"),
-            F.sum(F.col("value") * F.col("n")).alias("total"),
-        )
-    )
-    per_feature = F.broadcast(  # one row per feature
-        binned.groupBy("feature").agg(
-            F.sum("n").alias("row_count"), F.sum("missing").alias("missing"), F.sum("total").alias("total")
-        )
-    )
-    rows = F.nullif(F.col("row_count"), F.lit(0))
-    numeric = F.col("kind") == "numeric"
-    slot = F.when(numeric | F.col("category").isNotNull(), F.col("bin")).otherwise(other)
-    return (
-        spine.withColumn("slot", slot)
-        .join(binned.select("feature", "slot", "n"), ["feature", "slot"], "left")
-        .join(per_feature, "feature", "left")
-        .select(
-            "feature",
-            "kind",
-            "bin",
-            "lower",
-            "upper",
-            "category",
-            F.coalesce(F.col("n") / rows, F.lit(0.0)).alias("proportion"),
-            F.when(numeric, F.coalesce(F.col("missing") / rows, F.lit(0.0))).alias("null_rate"),
-            F.when(
-                numeric, F.col("total") / F.nullif(F.col("row_count") - F.col("missing"), F.lit(0))
-            ).alias("mean"),
-            F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
-        )
-    )
+def _total_rows(counts: list, cfg: DriftConfig, otherwise: DataFrame) -> int:
+    """Every row has one value of every feature."""
+    for f in (*cfg.numeric, *cfg.categorical):
+        if mine := [r.n for r in counts if r.feature == f]:
+            return sum(mine)
+    return 0 if cfg.numeric or cfg.categorical else otherwise.count()
 
 
-def _with_time(df: DataFrame, created_at: str | None) -> DataFrame:
-    return df.withColumn("created_at", F.lit(created_at or utc_now())).select(*PROFILE_COLUMNS)
+def _put_together(
+    df: DataFrame,
+    cfg: DriftConfig,
+    cuts: dict[str, list[float]],
+    known: dict[str, list[str]] | None,
+    created_at: str | None,
+) -> DataFrame:
+    """The profile of few categories, from collected counts: one row per bin."""
+    at = created_at or utc_now()
+    counts = _binned(df, cfg, cuts, known).collect()
+    rows = _total_rows(counts, cfg, df)
+    out = _numeric_rows(counts, cfg, cuts, rows, at)
+    for f in cfg.categorical:
+        mine = {r.category: r.n for r in counts if r.feature == f}
+        names = sorted((c for c in mine if c is not None), key=str.encode) if known is None else known.get(f, [])
+        for b, name in enumerate([*names, None]):
+            share = mine[name] / rows if name in mine else 0.0
+            out.append((f, "categorical", b, None, None, name, share, None, None, rows, at))
+    return small_frame(df.sparkSession, out, PROFILE)
+
+
+def _categorical(shares: DataFrame, rows: int, created_at: str) -> DataFrame:
+    """Profile rows of ``feature, bin, category, n``."""
+    null = F.lit(None).cast("double")
+    return shares.select(
+        "feature", F.lit("categorical").alias("kind"), "bin", null.alias("lower"), null.alias("upper"), "category",
+        (F.coalesce("n", F.lit(0)) / F.lit(float(rows or 1))).alias("proportion"), null.alias("null_rate"), null.alias("mean"),
+        F.lit(rows).cast("bigint").alias("row_count"), F.lit(created_at).alias("created_at"),
+    )
+
+
+def _spread_out(
+    df: DataFrame, cfg: DriftConfig, cuts: dict[str, list[float]], known: DataFrame | None, created_at: str | None
+) -> DataFrame:
+    """The profile of very many categories: they are numbered and joined as a table.
+
+    ``known``: ``feature, bin, category`` of a baseline.
+    """
+    spark, at = df.sparkSession, created_at or utc_now()
+    counts = durable(_binned(df, cfg, cuts), "drift-counts")
+    numbers = counts.where(F.col("feature").isin(list(cfg.numeric))).collect()  # a row per bin
+    texts = counts.where(F.col("feature").isin(list(cfg.categorical)))
+    rows = _total_rows(numbers, cfg, df) if cfg.numeric else df.count()
+    if known is None:
+        ranked = with_rank(sorted_runs(texts.select("feature", "category", "n"), ["feature", "category"], "categories"), "at")
+        ends = ranked.groupBy("feature").agg(F.min("at").alias("first"), F.count(F.lit(1)).cast("int").alias("m"))
+        own = ranked.join(F.broadcast(ends), "feature")  # one row per feature
+        own = own.select("feature", (F.col("at") - F.col("first")).cast("int").alias("bin"), "category", "n")
+        wanted = small_frame(spark, [(f,) for f in cfg.categorical], "feature string").join(ends, "feature", "left")
+        others = wanted.select("feature", F.coalesce("m", F.lit(0)).alias("bin"), F.lit(None).cast("string").alias("category"), F.lit(0).cast("bigint").alias("n"))
+        shares = own.unionByName(others)
+    else:
+        places = known.where(F.col("category").isNotNull())
+        unknown = known.where(F.col("category").isNull()).select("feature", F.col("bin").alias("last"))  # one row per feature
+        placed = (
+            texts.select("feature", "category", "n")
+            .join(places, ["feature", "category"], "left")
+            .join(F.broadcast(unknown), "feature")
+            .groupBy("feature", F.coalesce("bin", "last").alias("bin"))
+            .agg(F.sum("n").alias("n"))
+        )
+        shares = known.join(placed, ["feature", "bin"], "left")
+    found = small_frame(spark, _numeric_rows(numbers, cfg, cuts, rows, at), PROFILE).unionByName(_categorical(shares, rows, at))
+    return durable(found, "drift-profile")
 
 
 def profile(df: DataFrame, cfg: DriftConfig = DriftConfig(), *, created_at: str | None = None) -> DataFrame:
     """Profile of a frame with its own cutpoints and categories.
 
-    The counts are sorted and written once; deciles, category numbers and
-    shares all come from that table.
+    The deciles are selected by counting (two scans, no sort), then all
+    features are binned and counted in one more. ``df`` is read several times.
     """
-    runs = sorted_runs(value_counts(df, cfg), ["feature", "value", "category"], "value-counts")
-    numeric = runs.where(F.col("kind") == "numeric")
-    quantiles = weighted_quantiles(numeric, DECILES)
-    cuts = {f: sorted(set(quantiles.get(f, []))) for f in cfg.numeric}
-    spine = _numeric_spine(df.sparkSession, cuts).unionByName(
-        _categorical_spine(runs, cfg.categorical)
-    )
-    return _with_time(_filled(runs, cuts, spine), created_at)
+    keys = {f: order_key(_number(f), T.DoubleType()) for f in cfg.numeric}
+    kinds = [F.approx_count_distinct(_category(f)).alias(f"kinds{i}") for i, f in enumerate(cfg.categorical)]
+    known, row = extents(df, keys, dict.fromkeys(cfg.numeric, DECILES), *kinds, F.count(F.lit(1)).alias("rows"))
+    found = quantiles(df, keys, known, DECILES)
+    cuts = {f: sorted(set(found.get(f, []))) for f in cfg.numeric}
+    if sum(row[f"kinds{i}"] for i in range(len(kinds))) <= CATEGORIES:
+        return _put_together(df, cfg, cuts, None, created_at)
+    return _spread_out(df, cfg, cuts, None, created_at)
 
 
 def profile_like(
     df: DataFrame, baseline: DataFrame, cfg: DriftConfig = DriftConfig(), *, created_at: str | None = None
 ) -> DataFrame:
-    """Profile of a frame in the bins of a baseline profile."""
-    edges = (
-        baseline.where((F.col("kind") == "numeric") & F.col("upper").isNotNull())
-        .select("feature", "upper")
-        .collect()  # nine cutpoints per feature at most
-    )
-    cuts: dict[str, list[float]] = {f: [] for f in cfg.numeric}
-    for e in edges:
-        cuts[e.feature].append(e.upper)
-    cuts = {f: sorted(points) for f, points in cuts.items()}
-    spine = baseline.select("feature", "kind", "bin", "lower", "upper", "category")
-    return _with_time(_filled(value_counts(df, cfg), cuts, spine), created_at)
+    """Profile of a frame in the bins of a baseline profile: one scan."""
+    bins = baseline.select("feature", "kind", "bin", "upper", "category").limit(CATEGORIES + 1).collect()
+    many = len(bins) > CATEGORIES
+    if many:
+        bins = baseline.where("kind = 'numeric'").select("feature", "kind", "bin", "upper", "category").collect()  # eleven per feature
+    edges = [(r.feature, r.upper) for r in bins if r.kind == "numeric" and r.upper is not None]
+    cuts = {f: sorted(u for g, u in edges if g == f) for f in cfg.numeric}
+    if many:
+        return _spread_out(df, cfg, cuts, baseline.where("kind = 'categorical'").select("feature", "bin", "category"), created_at)
+    names: dict[str, list[str]] = {f: [] for f in cfg.categorical}
+    for r in sorted(bins, key=lambda r: r.bin):
+        if r.kind == "categorical" and r.category is not None and r.feature in names:
+            names[r.feature].append(r.category)
+    return _put_together(df, cfg, cuts, names, created_at)
 
 
 def _paired(baseline: DataFrame, current: DataFrame, eps: float) -> DataFrame:
@@ -223,7 +235,13 @@ def _paired(baseline: DataFrame, current: DataFrame, eps: float) -> DataFrame:
         )
         for df, side, p in ((baseline, "baseline", "e"), (current, "current", "a"))
     ]
-    both = sides[0].join(sides[1], ["feature", "kind", "bin"], "full")
+    values = [c for side in sides for c in side.columns if c not in ("feature", "kind", "bin")]
+    both = (
+        sides[0]
+        .unionByName(sides[1], allowMissingColumns=True)
+        .groupBy("feature", "kind", "bin")
+        .agg(*[F.max(c).alias(c) for c in values])
+    )
     mismatch = F.col("e").isNull() | F.col("a").isNull()
     e, a = F.greatest("e", F.lit(eps)), F.greatest("a", F.lit(eps))
     term = F.when(mismatch, F.raise_error(F.lit("the two profiles have different bins"))).otherwise(
@@ -305,7 +323,7 @@ def drift_report(
 ) -> tuple[DataFrame, DataFrame]:
     """Compare a frame with a baseline profile: (summary row, feature rows)."""
     current = profile_like(df, baseline, cfg)
-    facts = durable(feature_facts(baseline, current, cfg), "drift-facts")
+    facts = feature_facts(baseline, current, cfg)  # of two profiles, a row per bin
     return summary_report(facts, cfg), facts.select(*FEATURE_REPORT)
 
 

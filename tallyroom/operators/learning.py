@@ -10,10 +10,11 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyroom.functions.exprs import hash_part, row_md5
 from tallyroom.functions.text import term_marks, with_pairs, words
-from tallyroom.operators.ranking import rows_at_ranks, sorted_runs, weighted_quantiles
+from tallyroom.operators.selection import extent_columns, extent_of, extents, key_parts, nth_of_ties, order_key, quantiles, spots
 
 
 class TrainingRefused(RuntimeError):
@@ -77,24 +78,31 @@ def stratified_split(
 
     The rows with the lowest hashes are taken, exactly ``round(share * n)`` per
     class. The same rows are drawn again on every run and wherever they lie.
+    The hash up to which a class is taken is selected by counting, no row is
+    sorted or moved; of rows with that very hash the smaller keys are taken.
+    ``df`` is read several times: pass a table or a written frame.
     """
-    hashed = df.withColumn("_bucket", split_hash(key, seed))
-    cuts = rows_at_ranks(
-        hashed.where(F.col(label).isNotNull()),
-        label,
-        ["_bucket", key],
-        lambda _, n: [r for r in [math.floor(n * test + 0.5)] if r > 0],
-    )
-    place = F.struct(F.col("_bucket").alias("a"), F.col(key).alias("b"))
+    bucket, kind = split_hash(key, seed), df.schema[key].dataType
+    hashed = df.select(F.col(label).alias("label"), F.col(key).alias("key"), bucket.alias("bucket"))
+    sizes = hashed.where("label IS NOT NULL").groupBy("label").agg(*extent_columns(F.col("bucket"), [test], "")).collect()
+    known = {r.label: extent_of(r, "") for r in sizes}  # one row per class
+    last = {v: math.floor(e.n * test + 0.5) - 1 for v, e in known.items()}
+    own = {v: F.when(F.col("label") == F.lit(v), F.col("bucket")) for v in known}
+    at = {v: found[last[v]] for v, found in spots(hashed, own, known, {v: [r] for v, r in last.items()}).items() if found}
+    split = {v: (own[v] == F.lit(s.key), last[v] - s.below, s.equal) for v, s in at.items() if last[v] + 1 < s.below + s.equal}
+    ends = {}
+    if split:
+        longest = hashed.agg(F.max(F.octet_length(F.col("key").cast("string")))).first()[0]
+        one = nth_of_ties(hashed, split, lambda _: key_parts(F.col("key"), kind, longest))
+        row = hashed.agg(*[F.max(F.when(c, F.col("key"))).alias(str(i)) for i, c in enumerate(one.values())]).first()
+        ends = {v: row[str(i)] for i, v in enumerate(one)}
     chosen = F.lit(False)
-    for value, rows in cuts.items():
-        for row in rows:
-            last = F.struct(
-                F.lit(row["_bucket"]).cast("bigint").alias("a"),
-                F.lit(row[key]).cast(df.schema[key].dataType).alias("b"),
-            )
-            chosen = chosen | ((F.col(label) == F.lit(value)) & (place <= last))
-    return hashed.withColumn("is_test", F.coalesce(chosen, F.lit(False))).drop("_bucket")
+    for v, s in at.items():
+        taken = bucket <= F.lit(s.key)
+        if v in ends:
+            taken = (bucket < F.lit(s.key)) | ((bucket == F.lit(s.key)) & (F.col(key) <= F.lit(ends[v]).cast(kind)))
+        chosen = chosen | ((F.col(label) == F.lit(v)) & taken)
+    return df.withColumn("is_test", F.coalesce(chosen, F.lit(False)))
 
 
 @dataclass(frozen=True)
@@ -121,16 +129,9 @@ class NumericScale:
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact median of each column over its non-null values; 0 without any."""
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns
-    ]
-    counts = (
-        df.select(F.inline(F.array(*cells)))
-        .where(F.col("value").isNotNull())
-        .groupBy("feature", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    found = weighted_quantiles(sorted_runs(counts, ["feature", "value"], "medians"), [0.5])
+    keys = {c: order_key(F.col(c).cast("double"), T.DoubleType()) for c in columns}
+    known, _ = extents(df, keys, dict.fromkeys(columns, [0.5]))
+    found = quantiles(df, keys, known, [0.5])
     return {c: found[c][0] if c in found else 0.0 for c in columns}
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyroom.operators.ranking import global_row_number
+#: Stretches of the score range whose sums are taken apart.
+STRETCHES = 256
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -94,26 +95,39 @@ def roc_auc(
 ) -> DataFrame:
     """One row ``roc_auc``: exact area under the ROC curve.
 
-    Rank-sum form: rows are ranked by score over the whole table and tied
-    scores share the middle of their ranks. ``key`` spreads tied scores over
-    several partitions; without it the label does. NULL with a single class.
+    Rows of equal score are one weighted row: positives and negatives of each
+    distinct score are counted first (combined before the shuffle, so ties may
+    hold any share of the rows; ``key`` is no longer needed for that). The
+    scores are cut into stretches by a quantile sketch; inside a stretch a
+    running sum gives each positive the negatives below it, and sums per
+    stretch (one row each) do the rest. NULL with a single class; NULL scores
+    come first.
     """
-    columns = [score, label] + ([key] if key else [])
-    ranked = global_row_number(pred.select(*columns), [score, label] + ([key] if key else []), "_rank")
-    per_score = ranked.groupBy(score).agg(
-        F.sum(F.col(label).cast("bigint")).alias("pos"),
-        F.count(F.lit(1)).alias("n"),
-        ((F.min("_rank") + F.max("_rank")) / F.lit(2.0)).alias("mid"),
+    cuts = pred.agg(F.percentile_approx(score, [i / STRETCHES for i in range(1, STRETCHES)]).alias("c")).first().c or []
+    edges = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
+    one = F.col(label).cast("bigint")
+    per_score = pred.groupBy(F.col(score).alias("score")).agg(F.sum(one).alias("p"), F.count(F.lit(1)).alias("n"))
+    weighted = per_score.select(
+        "score",
+        F.coalesce(F.size(F.filter(edges, lambda e: e < F.col("score"))), F.lit(-1)).alias("stretch"),
+        F.coalesce("p", F.lit(0)).alias("p"),
+        (F.col("n") - F.coalesce("p", F.lit(0))).alias("m"),
     )
-    totals = per_score.agg(
-        F.sum(F.col("pos") * F.col("mid")).alias("ranks"),
-        F.sum("pos").cast("double").alias("p"),
-        F.sum(F.col("n") - F.col("pos")).cast("double").alias("m"),
+    inside = Window.partitionBy("stretch").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("m").over(inside), F.lit(0))
+    # Twice the pairs won, so that ties stay whole numbers.
+    stretches = (
+        weighted.withColumn("won", F.col("p").cast("decimal(38,0)") * (2 * below + F.col("m")))
+        .groupBy("stretch")
+        .agg(F.sum("won").alias("won"), F.sum("p").alias("p"), F.sum("m").alias("m"))
     )
-    p, m = F.col("p"), F.col("m")
-    return totals.select(
-        ((F.col("ranks") - p * (p + 1) / 2) / F.nullif(p * m, F.lit(0.0))).alias("roc_auc")
+    before = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)  # one row per stretch
+    totals = stretches.withColumn("below", F.coalesce(F.sum("m").over(before), F.lit(0))).agg(
+        F.sum(F.col("won") + F.col("p").cast("decimal(38,0)") * 2 * F.col("below")).cast("double").alias("won"),
+        F.sum("p").cast("double").alias("p"),
+        F.sum("m").cast("double").alias("m"),
     )
+    return totals.select((F.col("won") / F.nullif(2 * F.col("p") * F.col("m"), F.lit(0.0))).alias("roc_auc"))
 
 
 def summarise_labels(df: DataFrame, label: str = "satisfied") -> DataFrame:

@@ -5,21 +5,23 @@ then holds the partition number in its upper bits and the position inside
 the partition in its lower 33 bits. The frame is written out, because range
 bounds come from a sample and must not be drawn again. A global rank is the
 position plus the sizes of the partitions before it. Only those sizes (one
-row per partition and group) and a handful of boundary rows reach the driver.
+row per partition and group) reach the driver.
 
 Every order ends in a key that makes it total, so a value shared by very
-many rows still spreads over several partitions.
+many rows still spreads over several partitions. Where only a few ranks are
+wanted (ntile), nothing is sorted: see :mod:`tallyroom.operators.selection`.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallyroom.operators.selection import LAST_KEY, extents, key_parts, nth_of_ties, order_key, spots
 from tallyroom.sources.durable import durable, small_frame
 
 _POSITION_BITS = 33  # fixed by monotonically_increasing_id
@@ -81,53 +83,20 @@ def global_dense_rank(
     return present.select(*df.columns, out).unionByName(absent)
 
 
-def rows_at_ranks(
-    df: DataFrame,
-    group: str,
-    order: Sequence[str],
-    targets: Callable[[object, int], Sequence[int]],
-) -> dict[object, list]:
-    """Find the rows at given ranks of each group, by exact distributed order.
-
-    ``targets(group value, row count)`` gives the 1-based ranks wanted, in
-    rising order. Returns ``{group value: [row, ...]}``; groups must be few
-    (they are axes or classes, not data).
-    """
-    runs = sorted_runs(df.select(group, *order), [group, *order], "ranks")
-    sizes = (
-        runs.groupBy(group, _run().alias("run"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min(_index()).alias("start"))
-        .collect()
-    )
-    by_group: dict[object, list] = {}
-    for r in sorted(sizes, key=lambda r: r.run):
-        by_group.setdefault(r[group], []).append(r)
-
-    wanted: dict[object, list[int]] = {}
-    for g, parts in by_group.items():
-        wanted[g] = []
-        for rank in targets(g, sum(p.n for p in parts)):
-            before = 0
-            for p in parts:
-                if rank <= before + p.n:
-                    wanted[g].append((p.run << _POSITION_BITS) + p.start + rank - before - 1)
-                    break
-                before += p.n
-    places = sorted({at for ats in wanted.values() for at in ats})
-    found = {r[_AT]: r for r in runs.where(F.col(_AT).isin(places)).collect()} if places else {}
-    return {g: [found[at] for at in ats] for g, ats in wanted.items()}
-
-
 @dataclass(frozen=True)
 class Axis:
-    """A numeric column to cut into equal buckets; NULLs rank last."""
+    """A column to cut into equal buckets; NULLs rank last.
+
+    Whole numbers, dates, timestamps and decimals keep all their digits.
+    """
 
     column: str
     descending: bool = False
 
-    def value(self) -> Column:
-        v = F.col(self.column).cast("double")
-        return F.lit(0.0) - v if self.descending else v
+    def place(self, kind: T.DataType) -> Column:
+        """A BIGINT in the order of the axis, the largest one for NULL."""
+        key = order_key(F.col(self.column), kind)
+        return F.coalesce(F.bitwise_not(key) if self.descending else key, F.lit(LAST_KEY))
 
 
 def _bucket_ends(n: int, k: int) -> list[int]:
@@ -140,102 +109,49 @@ def _bucket_ends(n: int, k: int) -> list[int]:
 def global_ntile(df: DataFrame, k: int, axes: dict[str, Axis], key: str) -> DataFrame:
     """Add ``ntile(k)`` over the whole table for several axes at once.
 
-    All axes go through one range shuffle of (axis, value, key). Only the last
-    row of each bucket is fetched, k-1 per axis; every row is then compared
-    with those, so nothing is joined back. ``key`` is unique and breaks ties.
-    ``df`` is read twice: pass a table or a written frame.
+    The value at the end of each bucket is selected by counting, k-1 per axis;
+    where a bucket ends between rows of one value, the ``key`` of its last row
+    is selected in the same way among those rows alone. Every row is then
+    compared with the ends: nothing is sorted, shuffled, written or joined
+    back. ``key`` is unique and breaks ties. ``df`` is read several times:
+    pass a table or a written frame.
     """
-    names = list(axes)
-    long = df.select(
-        key,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("axis"),
-                        axes[name].value().isNull().alias("missing"),
-                        axes[name].value().alias("value"),
-                    )
-                    for i, name in enumerate(names)
-                ]
-            )
-        ),
-    )
-    bounds = rows_at_ranks(
-        long, "axis", ["missing", "value", key], lambda _, n: _bucket_ends(n, k)
-    )
-    key_type = df.schema[key].dataType
+    if not axes:
+        return df
+    place = {name: axis.place(df.schema[axis.column].dataType) for name, axis in axes.items()}
+    missing = {name: F.col(axis.column).isNull().cast("bigint") for name, axis in axes.items()}
+    known, _ = extents(df, place, dict.fromkeys(axes, [b / k for b in range(1, k)]))
+    last = {name: [e - 1 for e in _bucket_ends(known[name].n, k)] for name in axes}
+    at = spots(df, place, known, last)
+    inside = {  # buckets that end between rows of one value
+        (name, r): (place[name] == F.lit(s.key), r - s.below, s.equal)
+        for name in axes
+        for r, s in at[name].items()
+        if r + 1 < s.below + s.equal
+    }
+    bounds = {}
+    if inside:
+        kind = df.schema[key].dataType
+        longest = df.agg(F.max(F.octet_length(key))).first()[0] if isinstance(kind, T.StringType) else 0
+
+        def parts(name: tuple[str, int]) -> Iterator[Column]:
+            if at[name[0]][name[1]].key == LAST_KEY:  # the largest BIGINT stands before NULL
+                yield missing[name[0]]
+            yield from key_parts(F.col(key), kind, longest or 0)
+
+        one = nth_of_ties(df, inside, parts)
+        ends = [F.max(F.when(c, F.struct(missing[name].alias("missing"), F.col(key).alias("key")))).alias(str(i)) for i, ((name, _), c) in enumerate(one.items())]
+        row = df.agg(*ends).first()
+        bounds = {n: row[str(i)] for i, n in enumerate(one)}
     out = df
-    for i, name in enumerate(names):
-        place = F.struct(
-            axes[name].value().isNull().alias("a"), axes[name].value().alias("b"), F.col(key).alias("c")
-        )
+    for name in axes:
         bucket = F.lit(1)
-        for row in bounds.get(i, []):
-            end = F.struct(
-                F.lit(row.missing).alias("a"),
-                F.lit(row.value).cast("double").alias("b"),
-                F.lit(row[key]).cast(key_type).alias("c"),
-            )
-            bucket = bucket + (place > end).cast("int")
+        for r in last[name]:
+            after = place[name] > F.lit(at[name][r].key)
+            if end := bounds.get((name, r)):
+                same = place[name] == F.lit(at[name][r].key)
+                later = (missing[name] > end.missing) | ((missing[name] == end.missing) & (F.col(key) > F.lit(end.key).cast(df.schema[key].dataType)))
+                after = after | (same & later)
+            bucket = bucket + after.cast("int")
         out = out.withColumn(name, bucket.cast("bigint"))
     return out
-
-
-def weighted_quantiles(runs: DataFrame, probs: Sequence[float]) -> dict[str, list[float]]:
-    """Exact quantiles per feature from counts ``(feature, value, n)``.
-
-    ``runs`` are those counts sorted by feature and value (:func:`sorted_runs`).
-    Linear interpolation between neighbours: ``{feature: [quantile per prob]}``;
-    a feature without values has no entry. Running sums are taken only inside
-    the partitions that hold a wanted rank.
-    """
-    present = runs.where(F.col("value").isNotNull())
-    sizes = (
-        present.groupBy("feature", _run().alias("run")).agg(F.sum("n").alias("n")).collect()
-    )
-    by_feature: dict[str, list] = {}
-    for r in sorted(sizes, key=lambda r: r.run):
-        by_feature.setdefault(r.feature, []).append(r)
-
-    needed: set[tuple[str, int, int, int]] = set()  # feature, run, rank, rank in run
-    spots: dict[str, list[tuple[int, int, float]]] = {}
-    for feature, parts in by_feature.items():
-        total = sum(p.n for p in parts)
-        spots[feature] = []
-        for p in probs:
-            at = p * (total - 1)
-            low, high = math.floor(at), math.ceil(at)
-            spots[feature].append((low, high, at - low))
-            for rank in (low, high):
-                before = 0
-                for part in parts:
-                    if rank < before + part.n:
-                        needed.add((feature, part.run, rank, rank - before))
-                        break
-                    before += part.n
-    if not needed:
-        return {}
-    wanted = small_frame(
-        runs.sparkSession, sorted(needed), "feature string, run bigint, rank bigint, inside bigint"
-    )
-    held = small_frame(
-        runs.sparkSession, sorted({(f, run) for f, run, _, _ in needed}), "feature string, run bigint"
-    )
-    local = Window.partitionBy("feature", "run").orderBy("value")
-    running = (
-        present.withColumn("run", _run())
-        .join(F.broadcast(held), ["feature", "run"])
-        .withColumn("upto", F.sum("n").over(local))
-    )
-    hits = (
-        running.join(F.broadcast(wanted), ["feature", "run"])
-        .where((F.col("inside") < F.col("upto")) & (F.col("inside") >= F.col("upto") - F.col("n")))
-        .select("feature", "rank", "value")
-        .collect()
-    )
-    at = {(h.feature, h["rank"]): h.value for h in hits}
-    return {
-        f: [at[f, lo] + (at[f, hi] - at[f, lo]) * t for lo, hi, t in places]
-        for f, places in spots.items()
-    }

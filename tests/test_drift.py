@@ -88,6 +88,28 @@ def test_constant_missing_and_empty_features(spark, rows):
     assert features.count() == 3 and not math.isnan(row.max_psi)
 
 
+def test_many_categories_take_the_other_way(spark, monkeypatch):
+    """Numbered and joined as a table, a profile is the same as from collected counts."""
+    key = ["feature", "bin"]
+    before, after = frame(spark, skewed(1)), frame(spark, [*skewed(2, shift=2.0), (1.0, "new", None), (None, "ж", True)])
+    few = D.profile(before, CFG, created_at="t")
+    like = D.profile_like(after, few, CFG, created_at="t")
+    monkeypatch.setattr(D, "CATEGORIES", 3)
+    for mine, other in ((few, D.profile(before, CFG, created_at="t")), (like, D.profile_like(after, few, CFG, created_at="t"))):
+        assert mine.columns == other.columns
+        assert [tuple(r) for r in mine.orderBy(*key).collect()] == [tuple(r) for r in other.orderBy(*key).collect()]
+    empty = D.profile(before.limit(0), CFG, created_at="t")
+    assert [r.proportion for r in empty.collect()] == [0.0] * empty.count()
+
+
+def test_no_value_is_shuffled(spark):
+    """Only features, bins, categories, counts and sums pass an exchange."""
+    binned = D._binned(frame(spark, skewed(1)), CFG, {"x": [9.0, 10.0]}, {"kind": ["a"], "flag": []})
+    plan = binned._jdf.queryExecution().executedPlan().toString()
+    exchange = next(line for line in plan.splitlines() if "Exchange" in line)
+    assert plan.count("Exchange") == 1 and "value" not in exchange
+
+
 def test_severity_limits(spark):
     df = spark.createDataFrame([(0.0999999,), (0.1,), (0.2499999,), (0.25,)], "v double")
     assert [r[0] for r in df.select(D.severity(F.col("v"))).collect()] == ["stable", "warning", "warning", "high"]

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyroom.operators.ranking import (
     Axis,
     global_dense_rank,
     global_ntile,
     global_row_number,
-    rows_at_ranks,
-    sorted_runs,
-    weighted_quantiles,
 )
+from tallyroom.operators.selection import extents, order_key, quantiles, spots
 
 QUICK = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -62,21 +60,15 @@ def test_dense_rank_with_nulls(spark, descending):
 def test_rows_at_ranks_per_group(spark):
     rows = [("a", i) for i in range(100)] + [("b", i) for i in range(7)]
     df = spark.createDataFrame(rows, "g string, v int").repartition(5)
-    found = rows_at_ranks(df, "g", ["v"], lambda g, n: [1, n // 2, n])
-    assert [r.v for r in found["a"]] == [0, 49, 99]
-    assert [r.v for r in found["b"]] == [0, 2, 6]
-
-
-def test_quantiles_match_numpy(spark):
-    rng = np.random.default_rng(3)
-    values = np.round(rng.exponential(50, 3000), 1).tolist() + [0.0] * 1500
-    df = spark.createDataFrame([("f", v) for v in values], "feature string, value double")
-    counts = df.groupBy("feature", "value").count().withColumnRenamed("count", "n").repartition(6)
-    probs = [i / 10 for i in range(1, 10)]
-    found = weighted_quantiles(sorted_runs(counts, ["feature", "value"], "t"), probs)
-    assert found["f"] == pytest.approx(np.quantile(values, probs).tolist(), abs=1e-12)
+    keys = {g: F.when(F.col("g") == g, F.col("v").cast("bigint")) for g in "ab"}
+    known, _ = extents(df, keys, {"a": [0.5], "b": [0.5]})
+    found = spots(df, keys, known, {g: [0, known[g].n // 2 - 1, known[g].n - 1] for g in "ab"})
+    assert [s.key for s in found["a"].values()] == [0, 49, 99]
+    assert [s.key for s in found["b"].values()] == [0, 2, 6]
 
 
 def test_quantiles_of_nothing(spark):
-    counts = spark.createDataFrame([("f", None, 3)], "feature string, value double, n bigint")
-    assert weighted_quantiles(sorted_runs(counts, ["feature", "value"], "t"), [0.5]) == {}
+    df = spark.createDataFrame([(None,)] * 3, "value double")
+    keys = {"f": order_key(F.col("value"), df.schema["value"].dataType)}
+    known, _ = extents(df, keys, {"f": [0.5]})
+    assert quantiles(df, keys, known, [0.5]) == {}
