@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tallyroom.functions.exprs import hash_part, row_md5
 from tallyroom.functions.text import term_marks, with_pairs, words
-from tallyroom.operators.selection import extent_columns, extent_of, extents, key_parts, nth_of_ties, order_key, quantiles, spots
+from tallyroom.operators.selection import extent_columns, extent_of, extents, nth_of_ties, order_key, quantiles, spots
 
 
 class TrainingRefused(RuntimeError):
@@ -89,13 +89,8 @@ def stratified_split(
     last = {v: math.floor(e.n * test + 0.5) - 1 for v, e in known.items()}
     own = {v: F.when(F.col("label") == F.lit(v), F.col("bucket")) for v in known}
     at = {v: found[last[v]] for v, found in spots(hashed, own, known, {v: [r] for v, r in last.items()}).items() if found}
-    split = {v: (own[v] == F.lit(s.key), last[v] - s.below, s.equal) for v, s in at.items() if last[v] + 1 < s.below + s.equal}
-    ends = {}
-    if split:
-        longest = hashed.agg(F.max(F.octet_length(F.col("key").cast("string")))).first()[0]
-        one = nth_of_ties(hashed, split, lambda _: key_parts(F.col("key"), kind, longest))
-        row = hashed.agg(*[F.max(F.when(c, F.col("key"))).alias(str(i)) for i, c in enumerate(one.values())]).first()
-        ends = {v: row[str(i)] for i, v in enumerate(one)}
+    split = {v: (own[v] == F.lit(s.key), [last[v] - s.below], s.equal) for v, s in at.items() if last[v] + 1 < s.below + s.equal}
+    ends = {v: found for (v, _), found in nth_of_ties(hashed, split, "key").items()}
     chosen = F.lit(False)
     for v, s in at.items():
         taken = bucket <= F.lit(s.key)

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Stretches of the score range whose sums are taken apart.
-STRETCHES = 256
-
 
 def _ratio(top: Column, bottom: Column) -> Column:
     """Division where nothing over nothing is 0."""
@@ -98,18 +95,16 @@ def roc_auc(
     Rows of equal score are one weighted row: positives and negatives of each
     distinct score are counted first (combined before the shuffle, so ties may
     hold any share of the rows; ``key`` is no longer needed for that). The
-    scores are cut into stretches by a quantile sketch; inside a stretch a
-    running sum gives each positive the negatives below it, and sums per
-    stretch (one row each) do the rest. NULL with a single class; NULL scores
-    come first.
+    distinct scores are dealt out by range; inside a range a running sum gives
+    each positive the negatives below it, and sums per range (one row each) do
+    the rest. NULL with a single class; NULL scores come first.
     """
-    cuts = pred.agg(F.percentile_approx(score, [i / STRETCHES for i in range(1, STRETCHES)]).alias("c")).first().c or []
-    edges = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
     one = F.col(label).cast("bigint")
     per_score = pred.groupBy(F.col(score).alias("score")).agg(F.sum(one).alias("p"), F.count(F.lit(1)).alias("n"))
-    weighted = per_score.select(
+    # The number of the partition is fixed by the range it holds, also if a task runs again.
+    weighted = per_score.repartitionByRange("score").select(
         "score",
-        F.coalesce(F.size(F.filter(edges, lambda e: e < F.col("score"))), F.lit(-1)).alias("stretch"),
+        F.spark_partition_id().alias("stretch"),
         F.coalesce("p", F.lit(0)).alias("p"),
         (F.col("n") - F.coalesce("p", F.lit(0))).alias("m"),
     )

@@ -14,14 +14,14 @@ wanted (ntile), nothing is sorted: see :mod:`tallyroom.operators.selection`.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyroom.operators.selection import LAST_KEY, extents, key_parts, nth_of_ties, order_key, spots
+from tallyroom.operators.selection import extents, nth_of_ties, order_key, spots
 from tallyroom.sources.durable import durable, small_frame
 
 _POSITION_BITS = 33  # fixed by monotonically_increasing_id
@@ -85,7 +85,7 @@ def global_dense_rank(
 
 @dataclass(frozen=True)
 class Axis:
-    """A column to cut into equal buckets; NULLs rank last.
+    """A column to cut into equal buckets; NaN ranks after all numbers and NULL last.
 
     Whole numbers, dates, timestamps and decimals keep all their digits.
     """
@@ -94,9 +94,22 @@ class Axis:
     descending: bool = False
 
     def place(self, kind: T.DataType) -> Column:
-        """A BIGINT in the order of the axis, the largest one for NULL."""
+        """A number in the order of the axis; NULL for NaN and NULL."""
         key = order_key(F.col(self.column), kind)
-        return F.coalesce(F.bitwise_not(key) if self.descending else key, F.lit(LAST_KEY))
+        if not self.descending:
+            return key
+        # Complement, as the smallest BIGINT has no opposite.
+        return F.lit(0.0) - key if _is_double(kind) else F.bitwise_not(key)
+
+    def rest(self, kind: T.DataType) -> Column:
+        """0 for a number, 1 for NaN, 2 for NULL; a descending axis begins with NaN."""
+        nan = F.isnan(F.col(self.column).cast("double")) if _is_double(kind) else F.lit(False)
+        return F.when(F.col(self.column).isNull(), 2).when(nan, -1 if self.descending else 1).otherwise(0)
+
+
+def _is_double(kind: T.DataType) -> bool:
+    exact = isinstance(kind, (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType))
+    return not (exact or isinstance(kind, T.DecimalType) and kind.precision <= 18)
 
 
 def _bucket_ends(n: int, k: int) -> list[int]:
@@ -118,40 +131,45 @@ def global_ntile(df: DataFrame, k: int, axes: dict[str, Axis], key: str) -> Data
     """
     if not axes:
         return df
-    place = {name: axis.place(df.schema[axis.column].dataType) for name, axis in axes.items()}
-    missing = {name: F.col(axis.column).isNull().cast("bigint") for name, axis in axes.items()}
-    known, _ = extents(df, place, dict.fromkeys(axes, [b / k for b in range(1, k)]))
-    last = {name: [e - 1 for e in _bucket_ends(known[name].n, k)] for name in axes}
-    at = spots(df, place, known, last)
-    inside = {  # buckets that end between rows of one value
-        (name, r): (place[name] == F.lit(s.key), r - s.below, s.equal)
-        for name in axes
-        for r, s in at[name].items()
-        if r + 1 < s.below + s.equal
-    }
-    bounds = {}
-    if inside:
-        kind = df.schema[key].dataType
-        longest = df.agg(F.max(F.octet_length(key))).first()[0] if isinstance(kind, T.StringType) else 0
-
-        def parts(name: tuple[str, int]) -> Iterator[Column]:
-            if at[name[0]][name[1]].key == LAST_KEY:  # the largest BIGINT stands before NULL
-                yield missing[name[0]]
-            yield from key_parts(F.col(key), kind, longest or 0)
-
-        one = nth_of_ties(df, inside, parts)
-        ends = [F.max(F.when(c, F.struct(missing[name].alias("missing"), F.col(key).alias("key")))).alias(str(i)) for i, ((name, _), c) in enumerate(one.items())]
-        row = df.agg(*ends).first()
-        bounds = {n: row[str(i)] for i, n in enumerate(one)}
+    kinds = {name: df.schema[axis.column].dataType for name, axis in axes.items()}
+    place = {name: axis.place(kinds[name]) for name, axis in axes.items()}
+    rest = {name: axis.rest(kinds[name]) for name, axis in axes.items()}
+    sizes = [F.count(F.when(r == v, 1)).alias(f"{i}:{v}") for i, r in enumerate(rest.values()) for v in (-1, 1, 2)]
+    known, row = extents(df, place, dict.fromkeys(axes, [b / k for b in range(1, k)]), *sizes, F.count(F.lit(1)).alias("rows"))
+    last = [e - 1 for e in _bucket_ends(row.rows, k)]
+    first = {name: row[f"{i}:-1"] for i, name in enumerate(axes)}  # rows before the numbers
+    at = spots(df, place, known, {name: [r - first[name] for r in last] for name in axes})
+
+    # Where each bucket ends: a number (with NULL: in the rest), and the rows of its last value if it ends among them.
+    ends: dict[tuple[str, int], tuple[int, Column]] = {}
+    inside: dict[tuple, tuple[Column, list[int], int]] = {}  # (axis, rows below): a value in which buckets end
+    places: dict[tuple[str, int], tuple] = {}
+    for i, name in enumerate(axes):
+        groups = [(-1, 0), (1, first[name] + known[name].n), (2, first[name] + known[name].n + row[f"{i}:1"])]
+        for r in last:
+            if spot := at[name].get(r - first[name]):
+                value, same = 0, (rest[name] == 0) & (place[name] == F.lit(spot.key))
+                below, rows = first[name] + spot.below, spot.equal
+            else:
+                value, below = next((v, b) for v, b in groups if b <= r < b + row[f"{i}:{v}"])
+                same, rows = rest[name] == value, row[f"{i}:{value}"]
+            after = rest[name] > value
+            if value == 0:
+                after = after | ((rest[name] == 0) & (place[name] > F.lit(spot.key)))
+            ends[name, r] = (after, same)
+            if r + 1 < below + rows:
+                inside.setdefault((name, below), (same, [], rows))[1].append(r - below)
+                places[name, r] = ((name, below), r - below)
+    kind = df.schema[key].dataType
+    nth = nth_of_ties(df, inside, key)
+    bounds = {end: nth[at] for end, at in places.items()}
     out = df
     for name in axes:
         bucket = F.lit(1)
-        for r in last[name]:
-            after = place[name] > F.lit(at[name][r].key)
-            if end := bounds.get((name, r)):
-                same = place[name] == F.lit(at[name][r].key)
-                later = (missing[name] > end.missing) | ((missing[name] == end.missing) & (F.col(key) > F.lit(end.key).cast(df.schema[key].dataType)))
-                after = after | (same & later)
-            bucket = bucket + after.cast("int")
+        for r in last:
+            after, same = ends[name, r]
+            if (name, r) in bounds:
+                after = after | (same & (F.col(key) > F.lit(bounds[name, r]).cast(kind)))
+            bucket = bucket + F.coalesce(after, F.lit(False)).cast("int")
         out = out.withColumn(name, bucket.cast("bigint"))
     return out
