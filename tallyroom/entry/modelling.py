@@ -77,10 +77,8 @@ SELECT count(*) AS n_rows, count(DISTINCT satisfied) AS n_classes, CAST(sum(sati
 FROM labelled_reviews""",
 )
 def class_balance_guard(spark: SparkSession, d: str) -> DataFrame:
-    data = entity(spark, d, "labelled_reviews")
-    return L.guard_facts(data).join(
-        M.summarise_labels(data).withColumn("positive_share", round_half_away("positive_share", 6)), "n_rows"
-    )
+    facts = L.guard_facts(entity(spark, d, "labelled_reviews"))
+    return facts.withColumn("positive_share", round_half_away("positive_share", 6))
 
 
 @query(
@@ -122,6 +120,22 @@ def data_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     return L.fingerprint(documents, ["doc_id", "lang", "source", "text"])
 
 
+@query(
+    "fingerprint_of_new_batches",
+    """
+SELECT n_rows, sha256(n_rows || '-' || a || '-' || b) AS fingerprint FROM (
+    SELECT count(*) AS n_rows, sum(CAST('0x' || substr(h, 1, 12) AS BIGINT)) AS a,
+        sum(CAST('0x' || substr(h, 13, 12) AS BIGINT)) AS b
+    FROM (SELECT md5(concat_ws(chr(31), CAST(doc_id AS VARCHAR), coalesce(lang, chr(30)), text)) AS h FROM documents))""",
+)
+def fingerprint_of_new_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Parts of some batches are kept; only the others are read for the whole."""
+    documents, columns = table(spark, d, "documents"), ["doc_id", "lang", "text"]
+    early = documents.where(F.col("source") < "src2")
+    known = durable(L.fingerprint_by_batch(early, columns, "source"), "batch-parts")
+    return L.combined_fingerprint(L.add_new_batches(known, documents, columns, "source"))
+
+
 _CELLS = (
     with_sql("pseudo_scores")
     + """
@@ -208,6 +222,33 @@ def promotion_gate(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_EVENTS = """
+SELECT 'model' || CAST(user_id % 40 AS STRING) AS model, CAST(event_id % 9 AS INT) AS version,
+    CASE event_type WHEN 'purchase' THEN 'alias' WHEN 'signup' THEN 'registered' ELSE 'stage' END AS kind,
+    CASE event_type WHEN 'purchase' THEN CASE WHEN event_id % 3 = 0 THEN 'champion' ELSE 'other' END
+        WHEN 'view' THEN 'Production' WHEN 'click' THEN 'Archived' ELSE 'Staging' END AS value,
+    CAST(ts AS STRING) || lpad(CAST(event_id AS STRING), 12, '0') AS at, CAST(user_id AS STRING) AS run_id,
+    md5(CAST(event_id AS STRING)) AS fingerprint
+FROM events WHERE user_id % 40 <> 7 OR event_type NOT IN ('purchase', 'view')"""
+
+
+@query(
+    "registry_champion",
+    f"""
+WITH e AS ({_EVENTS.replace("AS STRING", "AS VARCHAR")})
+, s AS (SELECT model, version, max(run_id) AS run_id, max(fingerprint) AS fingerprint,
+    arg_max(value, at) FILTER (WHERE kind = 'stage') AS stage FROM e GROUP BY model, version)
+, named AS (SELECT model, arg_max(version, at) AS version FROM e WHERE kind = 'alias' AND value = 'champion' GROUP BY model)
+, staged AS (SELECT model, max(version) AS version FROM s WHERE stage = 'Production' GROUP BY model)
+, picked AS (SELECT model, coalesce(named.version, staged.version) AS version FROM named FULL JOIN staged USING (model))
+SELECT model, CAST(version AS BIGINT) AS version, run_id, fingerprint, stage FROM s JOIN picked USING (model, version)""",
+)
+def registry_champion(spark: SparkSession, d: str) -> DataFrame:
+    """The champion of every model in a long registry."""
+    events = spark.sql(_EVENTS.replace("FROM events", "FROM {events}"), events=table(spark, d, "events"))
+    return plain(learning.champions(events))
+
+
 @query(
     "score_validation",
     with_sql("scoring_requests")

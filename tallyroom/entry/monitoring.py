@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyroom.entry.adapters import entity, with_sql
 from tallyroom.entry.book import plain, query
 from tallyroom.functions.exprs import round_half_away
 from tallyroom.operators import drift as D
+from tallyroom.sources.durable import shared_root
+from tallyroom.sources.readers import new_batch_id
 
 CONFIG = D.DriftConfig(numeric=("value",), categorical=("event_type",))
 _STAMP = "2024-02-01T00:00:00+00:00"
@@ -142,3 +144,30 @@ def drift_summary(spark: SparkSession, d: str) -> DataFrame:
     baseline = D.profile(entity(spark, d, "drift_before"), CONFIG)
     summary, _ = D.drift_report(baseline, entity(spark, d, "drift_after"), CONFIG)
     return summary.drop("baseline_created_at")
+
+
+@query(
+    "drift_lifecycle",
+    _BOTH
+    + f"""
+, worst AS (SELECT max(round(psi, 6)) AS m FROM scores)
+, sizes AS (SELECT (SELECT count(*) FROM drift_before) AS b, (SELECT count(*) FROM drift_after) AS c)
+, checked AS (SELECT 'checked' AS status, b AS baseline_rows, c AS current_rows, m AS max_psi, {_SEVERITY.format("m")} AS severity FROM worst, sizes)
+SELECT CAST(1 AS BIGINT) AS step, 'baseline_created' AS status, b AS baseline_rows, b AS current_rows, CAST(0 AS DOUBLE) AS max_psi, 'stable' AS severity FROM sizes
+UNION ALL SELECT 2, * FROM checked
+UNION ALL SELECT 3, * FROM checked
+UNION ALL SELECT 4, 'checked', c, c, 0, 'stable' FROM sizes""",
+)
+def drift_lifecycle(spark: SparkSession, d: str) -> DataFrame:
+    """First run, a check, a refresh that breaks off before it counts, and a refresh."""
+    before, after = entity(spark, d, "drift_before"), entity(spark, d, "drift_after")
+    store = D.DriftStore(f"{shared_root(spark)}/drift-{new_batch_id()}")
+    D.run_drift(spark, before, store, CONFIG)
+    D.run_drift(spark, after, store, CONFIG)
+    D.write_profile(after, store, CONFIG)
+    D.run_drift(spark, after, store, CONFIG)
+    D.refresh_baseline(after, store, CONFIG)
+    D.run_drift(spark, after, store, CONFIG)
+    step = F.row_number().over(Window.orderBy("checked_at"))  # four reports
+    reports = spark.read.json(store.history).withColumn("step", step)
+    return plain(reports.select("step", "status", "baseline_rows", "current_rows", "max_psi", "severity"))

@@ -14,7 +14,8 @@ from tallyroom.sources.durable import shared_root
 from tallyroom.sources.loads import LakePaths, load_all
 from tallyroom.sources.readers import new_batch_id, read_csv_entity
 from tallyroom.sources.registry import ENTITIES
-from tallyroom.streaming.ingest import ingest_stream
+from tallyroom.sources.upsert import KeyedTable, read_keyed, upsert
+from tallyroom.streaming.ingest import ingest_stream, quarantine
 from tallyroom.streaming.score import score_stream
 
 
@@ -108,6 +109,76 @@ def incremental_bronze(spark: SparkSession, d: str) -> DataFrame:
     return sinks.read_bronze(spark, f"{root}/bronze").select(*columns)
 
 
+_CELLS = [f"coalesce({c}, '')" for c in ENTITIES["payments"].columns]
+_QUOTED = [f"'\"' || replace({c}, '\"', '\"\"') || '\"'" for c in _CELLS]
+#: A line with a cell too many, one that is cut off, and good ones.
+_LINE = f"""CASE WHEN CAST(order_id AS BIGINT) % 50 = 0 THEN {" || ',' || ".join([*_QUOTED, "'surplus'"])}
+    WHEN CAST(order_id AS BIGINT) % 50 = 1 THEN {" || ',' || ".join(_QUOTED[:3])}
+    ELSE {" || ',' || ".join(_QUOTED)} END"""
+
+
+@query(
+    "stream_quarantine",
+    with_sql("raw_payments")
+    + f"""
+, lines AS (SELECT *, {_LINE} AS line, CAST(order_id AS BIGINT) % 50 < 2 AS refused FROM raw_payments)
+SELECT CASE WHEN refused THEN '' ELSE order_id END AS order_id, CASE WHEN refused THEN '' ELSE payment_sequential END AS payment_sequential,
+    CASE WHEN refused THEN '' ELSE coalesce(payment_value, '') END AS payment_value,
+    CASE WHEN refused THEN 'cells do not match the header' ELSE '' END AS reason, CASE WHEN refused THEN line ELSE '' END AS text
+FROM lines""",
+)
+def stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Files with malformed lines among good ones, then files with their columns in another order."""
+    root, columns = _folder(spark, "quarantine"), list(ENTITIES["payments"].columns)
+    raw = entity(spark, d, "raw_payments").withColumns({"line": F.expr(_LINE), "odd": F.expr("CAST(order_id AS BIGINT) % 100 < 50")})
+    # One column that is named like the header and holds whole lines.
+    whole = {"header": "true", "sep": "\u0001", "quote": "", "escapeQuotes": "false"}
+    raw.where("odd").select(F.col("line").alias(",".join(columns))).write.options(**whole).csv(f"{root}/src")
+    bad = F.expr("CAST(order_id AS BIGINT) % 50 < 2")
+    raw.where(~F.col("odd") & bad).select(F.col("line").alias(",".join(columns))).write.mode("append").options(**whole).csv(f"{root}/src")
+    turned = raw.where(~F.col("odd") & ~bad).select(*columns[::-1], F.lit("new").alias("note"))
+    run = lambda: ingest_stream(spark, "payments", f"{root}/src", f"{root}/bronze", f"{root}/state").awaitTermination()
+    run()
+    sinks.write_csv(turned, f"{root}/src", mode="append")
+    run()
+    empty = F.lit("")
+    good = sinks.read_bronze(spark, f"{root}/bronze").select("order_id", "payment_sequential", "payment_value", empty.alias("reason"), empty.alias("text"))
+    refused = sinks.read_bronze(spark, quarantine(f"{root}/bronze"))
+    return good.unionByName(refused.select(*[empty.alias(c) for c in good.columns[:3]], "reason", "text"))
+
+
+@query(
+    "upsert_redelivery",
+    with_sql("raw_order_items")
+    + """
+, second AS (SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date,
+    CASE WHEN CAST(order_id AS BIGINT) % 7 = 0 THEN '1.25' ELSE price END AS price, freight_value,
+    '2024-03-01T00:00:00+00:00' AS _loaded_at, 'again.csv' AS _source_file, 'third' AS _batch_id
+    FROM raw_order_items WHERE CAST(order_id AS BIGINT) % 5 <> 0)
+, deliveries AS (SELECT * FROM raw_order_items UNION ALL SELECT * FROM second)
+SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value, _batch_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_id, order_item_id ORDER BY _loaded_at DESC NULLS LAST, _batch_id DESC NULLS LAST,
+        product_id NULLS LAST, seller_id NULLS LAST, shipping_limit_date NULLS LAST, price NULLS LAST, freight_value NULLS LAST,
+        _source_file NULLS LAST) AS rn FROM deliveries)
+WHERE rn = 1""",
+)
+def upsert_redelivery(spark: SparkSession, d: str) -> DataFrame:
+    """Deliver items, deliver most of them again with new prices, and once more: every key has its latest row once."""
+    items = entity(spark, d, "raw_order_items")
+    kept = KeyedTable(_folder(spark, "keyed"), ("order_id", "order_item_id"), buckets=8)
+    again = items.where(F.expr("CAST(order_id AS BIGINT) % 5 <> 0")).withColumns(
+        {
+            "price": F.expr("CASE WHEN CAST(order_id AS BIGINT) % 7 = 0 THEN '1.25' ELSE price END"),
+            "_loaded_at": F.lit("2024-03-01T00:00:00+00:00"),
+            "_source_file": F.lit("again.csv"),
+            "_batch_id": F.lit("third"),
+        }
+    )
+    for delivery in (items, again, items, again):
+        upsert(kept, delivery)
+    return read_keyed(spark, kept).drop("_loaded_at", "_source_file")
+
+
 @query(
     "stream_score",
     """

@@ -14,6 +14,7 @@ are shuffled.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -25,6 +26,7 @@ from tallyroom.functions.exprs import round_half_away
 from tallyroom.operators.ranking import sorted_runs, with_rank
 from tallyroom.operators.selection import extents, order_key, quantiles
 from tallyroom.sources.durable import durable, small_frame
+from tallyroom.sources.events import append_events, newest, read_events, read_table
 from tallyroom.sources.readers import utc_now
 from tallyroom.sources.sinks import append_json, overwrite_json
 
@@ -333,9 +335,19 @@ class DriftError(RuntimeError):
 
 @dataclass(frozen=True)
 class DriftStore:
-    """Where the baseline, the latest report and the history live."""
+    """Where the baselines, the latest report and the history live.
+
+    Which baseline counts is an event; ``log`` and ``subject`` name a list of
+    events kept elsewhere, such as a model's registry.
+    """
 
     root: str
+    log: str | None = None
+    subject: str = "drift"
+
+    @property
+    def events(self) -> str:
+        return self.log or f"{self.root.rstrip('/')}/events"
 
     @property
     def baseline(self) -> str:
@@ -350,36 +362,47 @@ class DriftStore:
         return f"{self.root.rstrip('/')}/history"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).limit(1).count()
-    except Exception as missing:
-        if "PATH_NOT_FOUND" in str(missing):
-            return False
-        raise
-    return True
+def write_profile(df: DataFrame, store: DriftStore, cfg: DriftConfig = DriftConfig()) -> str:
+    """Write the frame's profile as a possible baseline; returns its id. It counts once an event names it."""
+    name = uuid.uuid4().hex
+    profile(df, cfg).coalesce(1).write.parquet(f"{store.baseline}/id={name}")
+    return name
 
 
 def refresh_baseline(df: DataFrame, store: DriftStore, cfg: DriftConfig = DriftConfig()) -> str:
-    """Make the frame's profile the baseline; returns its creation time.
+    """Make the frame's profile the baseline; returns its id.
 
-    Profiles are appended and the newest counts, so a failed write leaves the
-    old baseline in place.
+    The profile is written first and named by an event then, so a run that
+    breaks off leaves the old baseline in place.
     """
-    created_at = utc_now()
-    profile(df, cfg, created_at=created_at).coalesce(1).write.mode("append").parquet(store.baseline)
-    return created_at
+    name = write_profile(df, store, cfg)
+    append_events(df.sparkSession, store.events, [(store.subject, None, "baseline", name, utc_now(), None, None)])
+    return name
+
+
+def current_baseline(spark: SparkSession, store: DriftStore) -> str | None:
+    """Id of the baseline that counts, if there is one."""
+    try:
+        mine = read_events(spark, store.events).where(F.col("model") == store.subject)
+        row = newest(mine, "baseline").first()
+        if row is None:
+            # Nothing that counts; but what lies there must at least be readable.
+            read_table(spark, store.baseline, PROFILE).limit(1).collect()
+    except Exception as broken:
+        raise DriftError(f"drift baseline cannot be read: {store.baseline}") from broken
+    return None if row is None else row.value
 
 
 def load_baseline(spark: SparkSession, store: DriftStore) -> DataFrame:
+    name = current_baseline(spark, store)
+    if name is None:
+        raise DriftError(f"there is no drift baseline: {store.baseline}")
     try:
-        stored = spark.read.parquet(store.baseline).select(*PROFILE_COLUMNS)
-        newest = stored.agg(F.max("created_at").alias("at")).first()["at"]
+        stored = spark.read.schema(PROFILE).parquet(f"{store.baseline}/id={name}")
+        stored.limit(1).collect()
     except Exception as broken:
         raise DriftError(f"drift baseline cannot be read: {store.baseline}") from broken
-    if newest is None:
-        raise DriftError(f"drift baseline is empty: {store.baseline}")
-    return stored.where(F.col("created_at") == newest)
+    return stored
 
 
 def _document(summary: DataFrame, features: DataFrame | None, store: DriftStore) -> DataFrame:
@@ -433,7 +456,7 @@ def run_drift(
 
     The report document replaces ``latest`` and is added to ``history``.
     """
-    if not _exists(spark, store.baseline):
+    if current_baseline(spark, store) is None:
         refresh_baseline(df, store, cfg)
         rows = load_baseline(spark, store).agg(F.max("row_count").alias("rows"))
         summary = rows.select(

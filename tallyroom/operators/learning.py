@@ -22,9 +22,13 @@ class TrainingRefused(RuntimeError):
 
 
 def guard_facts(df: DataFrame, label: str = "satisfied") -> DataFrame:
-    """One row: number of rows and of label values."""
+    """One row: number of rows, of label values and of positives, and their share."""
+    value = F.col(label)
     return df.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct(label).alias("n_classes")
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct(value).alias("n_classes"),
+        F.coalesce(F.sum(value.cast("bigint")), F.lit(0)).alias("n_positive"),
+        F.avg(value.cast("double")).alias("positive_share"),
     )
 
 
@@ -56,9 +60,38 @@ def fingerprint_parts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def fingerprint_by_batch(df: DataFrame, columns: Sequence[str], batch: str = "_batch_id") -> DataFrame:
+    """``batch, n_rows, part0, part1``: what each batch adds to the fingerprint of all.
+
+    Kept with the batches, so that a new fingerprint reads new batches only.
+    """
+    hashed = df.select(F.col(batch).alias("batch"), row_md5(*columns).alias("h"))
+    return hashed.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.sum(hash_part(F.col("h"), i).cast("decimal(38,0)")).cast("decimal(38,0)").alias(f"part{i}") for i in (0, 1)],
+    )
+
+
+def add_new_batches(known: DataFrame, df: DataFrame, columns: Sequence[str], batch: str = "_batch_id") -> DataFrame:
+    """The parts of all batches: those ``known``, and those of batches in ``df`` that are not; a row per batch."""
+    names = [r.batch for r in known.select("batch").collect()]
+    new = df.where(~F.coalesce(F.col(batch).isin(names), F.lit(False))) if names else df
+    return known.unionByName(fingerprint_by_batch(new, columns, batch))
+
+
+def combined_fingerprint(parts: DataFrame) -> DataFrame:
+    """One row ``n_rows, fingerprint`` of all batches together, equal to :func:`fingerprint` of their rows."""
+    zero = F.lit(0).cast("decimal(38,0)")
+    sums = [F.coalesce(F.sum(f"part{i}").cast("decimal(38,0)"), zero).alias(f"part{i}") for i in (0, 1)]
+    return _named(parts.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), *sums))
+
+
 def fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row ``n_rows, fingerprint``: equal for equal contents in any order."""
-    parts = fingerprint_parts(df, columns)
+    return _named(fingerprint_parts(df, columns))
+
+
+def _named(parts: DataFrame) -> DataFrame:
     return parts.select(
         "n_rows",
         F.sha2(

@@ -10,12 +10,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyroom.operators.dedup import key_set
+from tallyroom.sources.durable import small_frame
 
 LINEAGE = ("_loaded_at", "_source_file", "_batch_id")
+REPORT = "check_name string, table_name string, column_name string, failing_rows bigint, passed boolean"
 
 
 @dataclass(frozen=True)
@@ -137,6 +139,36 @@ def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFra
     return report.withColumn("passed", F.col("failing_rows") == 0)
 
 
+def checked_writes(
+    tables: dict[str, DataFrame],
+    checks: Sequence[Check],
+    write: Callable[[str, DataFrame], DataFrame],
+    parents: dict[str, DataFrame] | None = None,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Write tables and check them: ``(written tables, report)``.
+
+    Checks that look at single rows are counted by the write itself
+    (``Observation``), so they need no second scan; only repeated keys, missing
+    parents and custom checks read the written tables. The counts sit on top
+    of the plan, in the task that writes, where a task that runs again counts
+    once. ``write(name, frame)`` returns the written table.
+    """
+    written, lines = {}, []
+    for name, df in tables.items():
+        simple = [c for c in checks if c.table == name and c.row_failure() is not None]
+        seen = Observation()
+        counts = [F.count(F.when(c.row_failure(), 1)).alias(f"f{i}") for i, c in enumerate(simple)]
+        written[name] = write(name, df.observe(seen, F.count(F.lit(1)).alias("n"), *counts))
+        found = seen.get
+        lines += [(c.kind, c.table, c.column, found[f"f{i}"], found[f"f{i}"] == 0) for i, c in enumerate(simple)]
+    others = [c for c in checks if c.table in tables and c.row_failure() is None]
+    spark = next(iter(tables.values())).sparkSession
+    report = small_frame(spark, lines, REPORT)
+    if others:
+        report = report.unionByName(run_checks({**(parents or {}), **written}, others))
+    return written, report
+
+
 class QualityError(RuntimeError):
     """At least one check found failing rows."""
 

@@ -8,15 +8,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroom.operators import learning as L
+from tallyroom.operators.drift import DriftConfig, DriftStore, write_profile
 from tallyroom.operators.metrics import classification_metrics, classification_report, roc_auc
-from tallyroom.sources.durable import durable
+from tallyroom.sources.durable import durable, shared_root
+from tallyroom.sources.events import EVENT_SCHEMA as EVENT_SCHEMA
+from tallyroom.sources.events import append_events, read_events, read_table
 from tallyroom.sources.readers import utc_now
 
 # The model's columns, in order.
@@ -101,7 +104,11 @@ def fit_logistic(
             weight = F.when(F.col(label) == value, n / (2.0 * size)).otherwise(weight)
         df = df.withColumn("_weight", weight)
         estimator = estimator.setWeightCol("_weight")
-    return estimator.fit(df)
+    # Written and read back: a model that was just fitted carries its training
+    # summary, and with it the session, into every task that scores with it.
+    path = f"{shared_root(df.sparkSession)}/fitted-{uuid.uuid4().hex}"
+    estimator.fit(df).write().save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def prepare(df: DataFrame, cfg: TrainConfig = TrainConfig()) -> DataFrame:
@@ -207,35 +214,24 @@ class ModelStore:
         return self.path("models", model, f"v{version}")
 
 
-EVENT_SCHEMA = (
-    "model string, version int, kind string, value string, at string, run_id string, fingerprint string"
-)
 RUN_SCHEMA = (
     "run_id string, at string, params map<string,string>, metrics map<string,double>, "
     "tags map<string,string>, report string"
 )
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" in str(missing):
-            return spark.createDataFrame([], schema)
-        raise
-
-
 def registry_events(spark: SparkSession, store: ModelStore) -> DataFrame:
-    return _read(spark, store.path("registry"), EVENT_SCHEMA)
+    return read_events(spark, store.path("registry"))
 
 
 def runs(spark: SparkSession, store: ModelStore) -> DataFrame:
-    return _read(spark, store.path("runs"), RUN_SCHEMA)
+    return read_table(spark, store.path("runs"), RUN_SCHEMA)
 
 
 def current_stages(events: DataFrame) -> DataFrame:
     """``model, version, run_id, fingerprint, stage`` per registered version."""
-    newest = F.max_by(F.when(F.col("kind") == "stage", F.col("value")), F.when(F.col("kind") == "stage", F.col("at")))
+    is_stage = F.col("kind") == "stage"
+    newest = F.max_by(F.when(is_stage, F.col("value")), F.when(is_stage, F.struct("at", "value")))
     return events.groupBy("model", "version").agg(
         F.max("run_id").alias("run_id"),
         F.max("fingerprint").alias("fingerprint"),
@@ -243,22 +239,27 @@ def current_stages(events: DataFrame) -> DataFrame:
     )
 
 
+def champions(events: DataFrame) -> DataFrame:
+    """The champion of every model, as a row of ``current_stages``.
+
+    That is the version under the newest champion alias, else the highest one
+    in Production; a model with neither has no row.
+    """
+    stages = current_stages(events)
+    alias = events.where((F.col("kind") == "alias") & (F.col("value") == "champion"))
+    named = alias.groupBy("model").agg(F.max_by("version", F.struct("at", "version")).alias("version"), F.lit(1).alias("rank"))
+    staged = stages.where(F.col("stage") == "Production").groupBy("model").agg(F.max("version").alias("version"), F.lit(2).alias("rank"))
+    picked = named.unionByName(staged).groupBy("model").agg(F.min_by("version", "rank").alias("version"))
+    return stages.join(picked, ["model", "version"])
+
+
 def champion(events: DataFrame, model: str) -> DataFrame:
-    """The version under the newest champion alias, else the highest one in
-    Production; no row when there is neither."""
-    mine = events.where(F.col("model") == model)
-    alias = mine.where((F.col("kind") == "alias") & (F.col("value") == "champion"))
-    named = alias.orderBy(F.col("at").desc()).limit(1).select("version", F.lit(1).alias("rank"))
-    staged = current_stages(mine).where(F.col("stage") == "Production").select(
-        "version", F.lit(2).alias("rank")
-    )
-    picked = named.unionByName(staged).orderBy("rank", F.col("version").desc()).limit(1)
-    return current_stages(mine).join(F.broadcast(picked.select("version")), "version")
+    """The champion of one model; no row when there is none."""
+    return champions(events.where(F.col("model") == model))
 
 
 def _log_events(spark: SparkSession, store: ModelStore, rows: Sequence[tuple]) -> None:
-    frame = spark.createDataFrame(list(rows), EVENT_SCHEMA).coalesce(1)
-    frame.write.mode("append").parquet(store.path("registry"))
+    append_events(spark, store.path("registry"), rows)
 
 
 def register(
@@ -279,14 +280,20 @@ def register(
     return version
 
 
-def promote(spark: SparkSession, store: ModelStore, model: str, version: int) -> None:
-    """Make a version Production and champion; archive what was Production."""
+def promote(
+    spark: SparkSession, store: ModelStore, model: str, version: int, more: Sequence[tuple[str, str]] = ()
+) -> None:
+    """Make a version Production and champion; archive what was Production.
+
+    ``more``: further ``(kind, value)`` events of the same change.
+    """
     staged = current_stages(registry_events(spark, store).where(F.col("model") == model))
     previous = [r.version for r in staged.where(F.col("stage") == "Production").collect()]
     at = utc_now()
     rows = [(model, v, "stage", "Archived", at, None, None) for v in previous if v != version]
     rows.append((model, version, "stage", "Production", at, None, None))
     rows.append((model, version, "alias", "champion", at, None, None))
+    rows += [(model, version, kind, value, at, None, None) for kind, value in more]
     _log_events(spark, store, rows)
 
 
@@ -319,12 +326,25 @@ def _params(cfg: TrainConfig, train_rows: int, test_rows: int) -> dict[str, str]
     return shared
 
 
+def drift_store(store: ModelStore, cfg: TrainConfig, root: str) -> DriftStore:
+    """A drift store whose baseline is named in the model's registry, so that a promotion moves both at once."""
+    return DriftStore(root, store.path("registry"), cfg.model_name)
+
+
 def train_and_register(
-    spark: SparkSession, features: DataFrame, store: ModelStore, cfg: TrainConfig = TrainConfig()
+    spark: SparkSession,
+    features: DataFrame,
+    store: ModelStore,
+    cfg: TrainConfig = TrainConfig(),
+    *,
+    drift_root: str | None = None,
+    drift: DriftConfig = DriftConfig(),
 ) -> dict:
     """Train, evaluate, register and, if the gate allows, promote.
 
-    Skips when the data is what the champion was trained on. ``features`` is
+    Skips when the data is what the champion was trained on. With a
+    ``drift_root`` the profile of the features becomes the drift baseline in
+    the same change as the promotion (see :func:`drift_store`). ``features`` is
     read several times: pass a written table.
     """
     data = training_frame(features, cfg.key)
@@ -389,7 +409,9 @@ def train_and_register(
     decision = promotion_gate(candidate, rival, cfg.gate).first()
     promoted = cfg.auto_promote and decision.promote
     if promoted:
-        promote(spark, store, cfg.model_name, version)
+        # Written before the event that makes it count.
+        more = [] if drift_root is None else [("baseline", write_profile(features, drift_store(store, cfg, drift_root), drift))]
+        promote(spark, store, cfg.model_name, version, more)
     return {
         "status": "trained",
         "run_id": run_id,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyroom.plans.learning import TrainConfig
@@ -28,16 +29,29 @@ def score_stream(
     stream_id: str = "stream",
 ) -> StreamingQuery:
     """Score new JSON-lines files; audit rows go to ``dst/audit``, refused
-    requests to ``dst/rejected``, each micro-batch in its own directory."""
+    requests to ``dst/rejected``, each micro-batch in its own directory.
+
+    A line that is no readable request is refused with its text; every refused
+    row names its file.
+    """
     if model is None:
         raise LookupError("no model is loaded")
-    requests = spark.readStream.schema(REQUEST_SCHEMA).json(src)
+    requests = (
+        spark.readStream.schema(f"{REQUEST_SCHEMA}, _corrupt string")
+        .option("columnNameOfCorruptRecord", "_corrupt")
+        .json(src)
+        .select("*", F.col("_metadata.file_name").alias("_source_file"))
+        .withColumnRenamed("_corrupt", "text")
+    )
 
     def write(batch: DataFrame, number: int) -> None:
-        root, batch_id = dst.rstrip("/"), batch_name(spark, stream_id, checkpoint, number)
+        root, batch_id = dst.rstrip("/"), batch_name(batch, stream_id, number)
         batch.persist()  # read once, written twice
         try:
-            valid, rejected = validate_requests(batch)
+            valid, rejected = validate_requests(batch.where(F.col("text").isNull()))
+            unreadable = batch.where(F.col("text").isNotNull()).withColumn("reason", F.lit("line is no readable request"))
+            rejected = rejected.unionByName(unreadable)
+            valid = valid.drop("text", "_source_file")
             scored = score(model, derive_features(valid), cfg)
             replace_batch(audit(scored, utc_now()), f"{root}/audit", batch_id)
             replace_batch(rejected, f"{root}/rejected", batch_id)
