@@ -237,8 +237,8 @@ FROM events WHERE user_id % 40 <> 7 OR event_type NOT IN ('purchase', 'view')"""
     f"""
 WITH e AS ({_EVENTS.replace("AS STRING", "AS VARCHAR")})
 , s AS (SELECT model, version, max(run_id) AS run_id, max(fingerprint) AS fingerprint,
-    arg_max(value, at) FILTER (WHERE kind = 'stage') AS stage FROM e GROUP BY model, version)
-, named AS (SELECT model, arg_max(version, at) AS version FROM e WHERE kind = 'alias' AND value = 'champion' GROUP BY model)
+    arg_max(value, "at") FILTER (WHERE kind = 'stage') AS stage FROM e GROUP BY model, version)
+, named AS (SELECT model, arg_max(version, "at") AS version FROM e WHERE kind = 'alias' AND value = 'champion' GROUP BY model)
 , staged AS (SELECT model, max(version) AS version FROM s WHERE stage = 'Production' GROUP BY model)
 , picked AS (SELECT model, coalesce(named.version, staged.version) AS version FROM named FULL JOIN staged USING (model))
 SELECT model, CAST(version AS BIGINT) AS version, run_id, fingerprint, stage FROM s JOIN picked USING (model, version)""",
