@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -13,15 +15,19 @@ from pyspark.sql import types as T
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
+@lru_cache(1)
+def _marks() -> re.Pattern:
+    """All combining characters, as one class."""
+    points = [p for p in range(0x110000) if unicodedata.combining(chr(p))]
+    begins = [p for p in points if not unicodedata.combining(chr(p - 1))]
+    ends = [p for p in points if p == 0x10FFFF or not unicodedata.combining(chr(p + 1))]
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(begins, ends)) + "]+")
+
+
 @F.pandas_udf(T.StringType())
 def _without_marks(texts: pd.Series) -> pd.Series:
-    def strip(text: str | None) -> str | None:
-        if text is None:
-            return None
-        parts = unicodedata.normalize("NFKD", text)
-        return "".join(ch for ch in parts if not unicodedata.combining(ch))
-
-    return texts.map(strip, na_action="ignore")
+    marks = _marks()
+    return texts.map(lambda text: marks.sub("", unicodedata.normalize("NFKD", text)), na_action="ignore")
 
 
 def strip_accents(c: Column) -> Column:
