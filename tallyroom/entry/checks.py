@@ -155,6 +155,14 @@ _SILVER_SQL = f"""
     WHERE bought IS NOT NULL AND order_id IN (SELECT order_id FROM items_v))
 , rfm_v AS (SELECT DISTINCT customer_unique_id FROM orders_v JOIN customers_v USING (customer_id)
     WHERE bought IS NOT NULL AND st = 'delivered' AND order_id IN (SELECT order_id FROM items_v))
+, top_v AS (SELECT order_id, kind FROM (SELECT *, row_number() OVER (PARTITION BY order_id
+    ORDER BY TRY_CAST(payment_value AS DOUBLE) DESC NULLS LAST, TRY_CAST(payment_sequential AS INTEGER) NULLS LAST, kind NULLS LAST) AS rn
+    FROM payments_v) WHERE rn = 1)
+, features_v AS (SELECT review_id, CASE WHEN sc >= 4 THEN 1 ELSE 0 END AS satisfied,
+    length(coalesce(review_comment_message, '')) AS review_comment_length,
+    length(trim(coalesce(review_comment_message, ''))) > 0 AS has_comment,
+    CASE WHEN kind IN ('credit_card', 'boleto', 'voucher', 'debit_card') THEN kind ELSE 'not_defined' END AS payment_type
+    FROM reviews_v LEFT JOIN top_v USING (order_id))
 """
 
 
@@ -183,11 +191,6 @@ def _rel(table: str, column: str, source: str, parent: str) -> str:
     )
 
 
-def _zero(check: str, table: str, column: str) -> str:
-    """A check that cannot fail, because the model computes the column that way."""
-    return _line(check, table, column, "SELECT 0")
-
-
 _STATUSES = ", ".join(f"'{s}'" for s in contract.ORDER_STATUSES)
 _REPORT_SQL = " UNION ALL ".join(
     [
@@ -219,18 +222,19 @@ _REPORT_SQL = " UNION ALL ".join(
         _nn("customer_rfm", "customer_unique_id", "rfm_v"), _un("customer_rfm", "customer_unique_id", "rfm_v"),
         _rel("customer_rfm", "customer_unique_id", "rfm_v", "customers_v"),
         _nn("product_performance", "product_id", "products_v"), _un("product_performance", "product_id", "products_v"),
-        _zero("relationships", "product_performance", "product_id"),
+        _rel("product_performance", "product_id", "products_v", "products_v"),
         _nn("seller_ranking", "seller_id", "sellers_v"), _un("seller_ranking", "seller_id", "sellers_v"),
-        _zero("relationships", "seller_ranking", "seller_id"),
+        _rel("seller_ranking", "seller_id", "sellers_v", "sellers_v"),
         _nn("reviews_features", "review_id", "reviews_v"), _un("reviews_features", "review_id", "reviews_v"),
-        _zero("relationships", "reviews_features", "review_id"),
-        _zero("not_null", "reviews_features", "satisfied"), _zero("accepted_values", "reviews_features", "satisfied"),
+        _rel("reviews_features", "review_id", "features_v", "reviews_v"), _nn("reviews_features", "satisfied", "features_v"),
+        _line("accepted_values", "reviews_features", "satisfied", "SELECT count(*) FROM features_v WHERE satisfied NOT IN (0, 1)"),
         _nn("reviews_features", "review_score", "reviews_v", "sc"),
         _line("between", "reviews_features", "review_score", "SELECT count(*) FROM reviews_v WHERE sc NOT BETWEEN 1 AND 5"),
-        _zero("accepted_values", "reviews_features", "has_comment"),
-        _zero("between", "reviews_features", "review_comment_length"),
-        _zero("not_null", "reviews_features", "payment_type"),
-        _zero("accepted_values", "reviews_features", "payment_type"),
+        _line("accepted_values", "reviews_features", "has_comment", "SELECT count(*) FROM features_v WHERE has_comment NOT IN (true, false)"),
+        _line("between", "reviews_features", "review_comment_length", "SELECT count(*) FROM features_v WHERE review_comment_length < 0"),
+        _nn("reviews_features", "payment_type", "features_v"),
+        _line("accepted_values", "reviews_features", "payment_type",
+              "SELECT count(*) FROM features_v WHERE payment_type NOT IN ('credit_card', 'boleto', 'voucher', 'debit_card', 'not_defined')"),
     ]
 )
 _BRONZE_REPORT_SQL = " UNION ALL ".join(

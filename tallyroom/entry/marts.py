@@ -197,6 +197,23 @@ def ntile(spark: SparkSession, d: str) -> DataFrame:
     return global_ntile(orders, 7, axes, "o_orderkey").select("o_orderkey", *axes)
 
 
+@query(
+    "ntile_of_big_keys",
+    """
+SELECT o_orderkey, ntile(9) OVER (ORDER BY 9007199254740993 + o_custkey, o_orderkey) AS up,
+    ntile(9) OVER (ORDER BY 9007199254740993 + o_custkey DESC, o_orderkey) AS down,
+    ntile(9) OVER (ORDER BY CAST(o_orderdate AS DATE), o_orderkey) AS day
+FROM orders""",
+)
+def ntile_of_big_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Neighbouring BIGINTs that are one DOUBLE, and dates."""
+    orders = table(spark, d, "orders").select(
+        "o_orderkey", (F.lit(9007199254740993) + F.col("o_custkey")).alias("big"), F.col("o_orderdate").cast("date").alias("on")
+    )
+    axes = {"up": Axis("big"), "down": Axis("big", descending=True), "day": Axis("on")}
+    return global_ntile(orders, 9, axes, "o_orderkey").select("o_orderkey", *axes)
+
+
 @query(
     "global_dense_rank",
     """

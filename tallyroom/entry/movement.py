@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from tallyroom.entry.adapters import entity, table, with_sql
 from tallyroom.entry.book import plain, query
+from tallyroom.operators import quality as Q
 from tallyroom.plans.learning import TrainConfig
 from tallyroom.sources import sinks
 from tallyroom.sources.durable import shared_root
 from tallyroom.sources.loads import LakePaths, load_all
-from tallyroom.sources.readers import new_batch_id, read_csv_entity
+from tallyroom.sources.readers import new_batch_id, read_csv_entity, read_exchange_rates, read_json_records, text_schema
 from tallyroom.sources.registry import ENTITIES
 from tallyroom.sources.upsert import KeyedTable, read_keyed, upsert
 from tallyroom.streaming.ingest import ingest_stream, quarantine
@@ -109,6 +110,80 @@ def incremental_bronze(spark: SparkSession, d: str) -> DataFrame:
     return sinks.read_bronze(spark, f"{root}/bronze").select(*columns)
 
 
+def _documents(df: DataFrame, path: str) -> None:
+    """One file per row of text."""
+    df.write.option("maxRecordsPerFile", 1).text(path)
+
+
+@query(
+    "read_json_records",
+    """
+SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name, p_brand AS brand, CAST(p_retailprice AS VARCHAR) AS unit_price,
+    '2024-05-01' AS _loaded_at, 'b1' AS _batch_id, true AS from_file
+FROM part""",
+)
+def read_json_records_query(spark: SparkSession, d: str) -> DataFrame:
+    """JSON arrays of a hundred products a file, read with their lineage."""
+    root, fields = _folder(spark, "json"), ["product_id", "product_name", "brand", "unit_price"]
+    parts = table(spark, d, "part").select(
+        F.floor(F.col("p_partkey") / 100).alias("file"),
+        F.struct(
+            F.col("p_partkey").cast("string").alias("product_id"),
+            F.col("p_name").alias("product_name"),
+            F.col("p_brand").alias("brand"),
+            F.col("p_retailprice").cast("string").alias("unit_price"),
+        ).alias("record"),
+    )
+    _documents(parts.groupBy("file").agg(F.to_json(F.collect_list("record"), {"pretty": "true"}).alias("value")).select("value"), root)
+    read = read_json_records(spark, root, batch_id="b1", loaded_at="2024-05-01", schema=text_schema(fields))
+    return read.select(*fields, "_loaded_at", "_batch_id", F.col("_source_file").startswith("part-").alias("from_file"))
+
+
+@query(
+    "read_rates_files",
+    """
+WITH r AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, max(user_id) AS rate FROM events GROUP BY ALL)
+SELECT event_type AS currency_code, CAST(rate AS DOUBLE) + 0.25::DOUBLE AS rate,
+    CASE WHEN right(day, 1) = '5' THEN 'BRL' ELSE 'USD' END AS base_currency, day AS fetched_at, 'b2' AS _batch_id
+FROM r""",
+)
+def read_rates_files(spark: SparkSession, d: str) -> DataFrame:
+    """Rate documents of both shapes, one file a day."""
+    root = _folder(spark, "rates")
+    rates = (
+        table(spark, d, "events")
+        .groupBy(F.col("ts").cast("date").cast("string").alias("day"), "event_type")
+        .agg((F.max("user_id").cast("double") + 0.25).alias("rate"))
+        .groupBy("day")
+        .agg(F.map_from_entries(F.collect_list(F.struct("event_type", "rate"))).alias("rates"))  # a handful of types
+    )
+    first = F.to_json(F.struct(F.lit("USD").alias("base"), F.col("day").alias("fetched_at"), "rates"))
+    second = F.to_json(F.struct(F.lit("BRL").alias("base_code"), F.col("day").alias("time_last_update_utc"), "rates"))
+    _documents(rates.select(F.when(F.col("day").endswith("5"), second).otherwise(first).alias("value")), root)
+    return read_exchange_rates(spark, f"{root}/part-*", batch_id="b2").drop("_loaded_at", "_source_file")
+
+
+@query(
+    "layer_files",
+    with_sql("raw_sellers")
+    + """
+SELECT seller_id, lower(seller_city) AS seller_city, left(repeat(seller_city, 20), 80) AS preview, _batch_id FROM raw_sellers
+WHERE CAST(seller_id AS BIGINT) <= 3""",
+)
+def layer_files(spark: SparkSession, d: str) -> DataFrame:
+    """A bronze view, a refreshed table, a JSON export read back and a preview of it."""
+    root, raw = _folder(spark, "files"), entity(spark, d, "raw_sellers")
+    sinks.append_bronze(raw, f"{root}/raw_sellers")
+    view = sinks.bronze_views(spark, root, ["sellers"])["sellers"]
+    cleaned = view.select("seller_id", F.lower("seller_city").alias("seller_city"), F.repeat("seller_city", 20).alias("preview"), "_batch_id")
+    stale = cleaned.withColumn("seller_city", F.lit("stale"))
+    sinks.write_tables({"sellers": stale}, f"{root}/silver")
+    silver = sinks.write_tables({"sellers": cleaned}, f"{root}/silver")["sellers"]
+    sinks.write_json(silver, f"{root}/json")
+    back = spark.read.schema(silver.schema).json(f"{root}/json")
+    return Q.preview(back.where(F.col("seller_id").cast("bigint") <= 3), back.columns, text="preview", n=10)
+
+
 _CELLS = [f"coalesce({c}, '')" for c in ENTITIES["payments"].columns]
 _QUOTED = [f"'\"' || replace({c}, '\"', '\"\"') || '\"'" for c in _CELLS]
 #: A line with a cell too many, one that is cut off, and good ones.

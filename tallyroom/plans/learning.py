@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tallyroom.operators import learning as L
 from tallyroom.operators.drift import DriftConfig, DriftStore, write_profile
 from tallyroom.operators.metrics import classification_metrics, classification_report, roc_auc
-from tallyroom.sources.durable import durable, shared_root
+from tallyroom.sources.durable import durable, intermediate_path, owned
 from tallyroom.sources.events import EVENT_SCHEMA as EVENT_SCHEMA
 from tallyroom.sources.events import append_events, read_events, read_table
 from tallyroom.sources.readers import utc_now
@@ -106,7 +106,7 @@ def fit_logistic(
         estimator = estimator.setWeightCol("_weight")
     # Written and read back: a model that was just fitted carries its training
     # summary, and with it the session, into every task that scores with it.
-    path = f"{shared_root(df.sparkSession)}/fitted-{uuid.uuid4().hex}"
+    path = intermediate_path(df.sparkSession, "fitted")
     estimator.fit(df).write().save(path)
     return LogisticRegressionModel.load(path)
 
@@ -345,8 +345,15 @@ def train_and_register(
     Skips when the data is what the champion was trained on. With a
     ``drift_root`` the profile of the features becomes the drift baseline in
     the same change as the promotion (see :func:`drift_store`). ``features`` is
-    read several times: pass a written table.
+    read several times: pass a written table. Intermediate tables are removed.
     """
+    with owned(spark):
+        return _train_and_register(spark, features, store, cfg, drift_root, drift)
+
+
+def _train_and_register(
+    spark: SparkSession, features: DataFrame, store: ModelStore, cfg: TrainConfig, drift_root: str | None, drift: DriftConfig
+) -> dict:
     data = training_frame(features, cfg.key)
     n_rows = L.guard(data, TARGET, cfg.min_rows)
     print_of_data = L.fingerprint(data, [cfg.key, *FEATURE_ORDER, TARGET]).first().fingerprint

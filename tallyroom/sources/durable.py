@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 _own_roots: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def _configured(spark: SparkSession) -> str | None:
@@ -39,6 +42,31 @@ def shared_root(spark: SparkSession) -> str:
     return _own_roots[app]
 
 
+def intermediate_path(spark: SparkSession, label: str) -> str:
+    """A new folder for something that is needed for a while; see :func:`owned`."""
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    for scope in _scopes[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def owned(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are removed on leaving, also after a failure.
+
+    For work whose results are written elsewhere by then; a frame that still
+    reads an intermediate table must not leave the scope.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        files = spark._jvm.org.apache.hadoop.fs
+        for path in _scopes.pop():
+            at = files.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -46,7 +74,7 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     partition numbers) and before a frame that several jobs read.
     """
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = intermediate_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroom.operators.dedup import latest_per_key
-from tallyroom.sources.durable import durable
+from tallyroom.sources.durable import durable, owned
 from tallyroom.sources.events import append_events, newest, read_events
 from tallyroom.sources.readers import utc_now
 
@@ -79,6 +79,11 @@ def upsert(table: KeyedTable, delivery: DataFrame, order: Sequence[Column] | Non
     it is in the table or in the delivery. Columns that only some deliveries
     have are NULL in the other rows.
     """
+    with owned(delivery.sparkSession):
+        return _upsert(table, delivery, order)
+
+
+def _upsert(table: KeyedTable, delivery: DataFrame, order: Sequence[Column] | None) -> list[int]:
     spark = delivery.sparkSession
     # Trimmed to a row per key before anything else, so a key repeated very often is no hot bucket.
     latest = durable(latest_per_key(delivery, table.keys, order).withColumn(_BUCKET, _bucket(table)), "upsert")

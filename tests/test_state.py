@@ -16,6 +16,7 @@ from tallyroom.plans import learning as P
 from tallyroom.sources import events as E
 from tallyroom.sources import sinks
 from tallyroom.sources import upsert as U
+from tallyroom.sources.durable import durable, owned
 from tallyroom.streaming.ingest import ingest_stream, quarantine
 from tallyroom.streaming.score import score_stream
 
@@ -130,6 +131,21 @@ def test_a_merge_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
     assert [r.n for r in U.read_keyed(spark, table).collect()] == [1]
 
 
+def test_owned_tables_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tallyroom.sources.durable._configured", lambda _: f"{tmp_path}/shared")
+    with owned(spark):
+        assert durable(spark.range(3), "inner").count() == 3
+        with pytest.raises(RuntimeError), owned(spark):
+            durable(spark.range(3), "deeper")
+            raise RuntimeError
+        assert [p.name[:5] for p in (tmp_path / "shared").iterdir()] == ["inner"]
+    assert list((tmp_path / "shared").iterdir()) == []
+    data = [(str(i), "", float(i % 40 - 20), i % 7, bool(i % 2), i % 4, int(i % 40 < 20)) for i in range(200)]
+    cfg = P.TrainConfig(use_text=False, min_rows=10, max_iter=5, gate=P.GateConfig(0, 0, 0))
+    P.train_and_register(spark, spark.createDataFrame(data, FEATURES), P.ModelStore(f"{tmp_path}/models"), cfg)
+    assert list((tmp_path / "shared").iterdir()) == []
+
+
 def test_fingerprint_of_batches(spark):
     df = spark.createDataFrame([(i, str(i % 5), "abc"[i % 3]) for i in range(60)], "k int, _batch_id string, v string")
     columns = ["k", "v"]
