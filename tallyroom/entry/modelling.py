@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -341,6 +342,38 @@ def _small(use_text: bool) -> learning.TrainConfig:
     return learning.TrainConfig(use_text=use_text, min_rows=20, gate=open_gate)
 
 
+_SCALED = ", ".join(
+    f"(coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM raw)) - avg(coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM raw))) OVER ())"
+    f" / coalesce(nullif(stddev_pop(coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM raw))) OVER (), 0), 1) AS {c}"
+    for c in learning.NUMERIC_FEATURES
+)
+
+
+@query(
+    "logistic_optimum",
+    with_sql("labelled_reviews")
+    + f"""
+, raw AS (SELECT CAST(delivery_delay_days AS DOUBLE) AS delivery_delay_days, CAST(review_comment_length AS DOUBLE) AS review_comment_length,
+    CAST(coalesce(CAST(has_comment AS INTEGER), 0) AS DOUBLE) AS has_comment, CAST(payment_type_encoded AS DOUBLE) AS payment_type_encoded,
+    CAST(satisfied AS DOUBLE) AS y FROM labelled_reviews)
+, scaled AS (SELECT {_SCALED}, y, CAST(count(*) OVER () AS DOUBLE) / (2 * count(*) OVER (PARTITION BY y)) AS w FROM raw)
+, sides AS (SELECT 'intercept' AS feature, sum(w * y) / sum(w) AS v FROM scaled
+    {" ".join(f"UNION ALL SELECT '{c}', sum(w * {c} * y) / sum(w) FROM scaled" for c in learning.NUMERIC_FEATURES)})
+SELECT feature, round(v, 4) AS observed, round(v, 4) AS fitted FROM sides""",
+)
+def logistic_optimum(spark: SparkSession, d: str) -> DataFrame:
+    """Fit the numeric model and see that it is the optimum: SQL knows both sides of the condition from the labels."""
+    data = durable(learning.training_frame(entity(spark, d, "labelled_reviews")), "labelled")
+    names = list(learning.NUMERIC_FEATURES)
+    scaled = durable(VectorAssembler(inputCols=names, outputCol="features").transform(L.scale(data, names, True)), "scaled")
+    model = learning.fit_logistic(scaled, balanced=True, tol=1e-12)
+    sizes = {r.satisfied: r["n"] for r in scaled.groupBy("satisfied").agg(F.count(F.lit(1)).alias("n")).collect()}
+    weight = F.when(F.col("satisfied") == 1, sum(sizes.values()) / (2 * sizes[1])).otherwise(sum(sizes.values()) / (2 * sizes[0]))
+    pred = model.transform(scaled).withColumn("p", vector_to_array("probability")[1])
+    sides = learning.optimality(pred, dict(zip(names, map(float, model.coefficients))), weight=weight)
+    return sides.withColumns({c: round_half_away(c, 4) for c in ("observed", "fitted")})
+
+
 @query("train_logistic")
 def train_logistic(spark: SparkSession, d: str) -> DataFrame:
     """Train, register and promote both model kinds, then see them skipped."""

@@ -11,7 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroom.operators import learning as L
@@ -79,6 +79,7 @@ def fit_logistic(
     balanced: bool,
     c: float = 1.0,
     max_iter: int = 1000,
+    tol: float = 1e-6,
     features: str = "features",
     label: str = TARGET,
 ):
@@ -96,7 +97,7 @@ def fit_logistic(
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
-        tol=1e-6,
+        tol=tol,
     )
     if balanced:
         weight = F.lit(0.0)
@@ -111,6 +112,31 @@ def fit_logistic(
     return LogisticRegressionModel.load(path)
 
 
+def optimality(
+    pred: DataFrame, coefficients: dict[str, float], *, c: float = 1.0, weight: Column | None = None, label: str = TARGET, probability: str = "p"
+) -> DataFrame:
+    """``feature, observed, fitted``: both sides of the optimum's condition, in one aggregate.
+
+    At the optimum of the penalised loss the weighted mean of feature times
+    label equals that of feature times probability plus the coefficient's
+    share of the penalty. The loss is convex, so where all features (and the
+    unpenalised ``intercept``) agree, the fit is the one there is.
+    """
+    w = F.lit(1.0) if weight is None else weight
+    sides = {"intercept": (F.lit(1.0), 0.0)} | {f: (F.col(f), b) for f, b in coefficients.items()}
+    totals = pred.agg(
+        F.sum(w).alias("n"),
+        *[F.sum(w * x * F.col(label)).alias(f"y{i}") for i, (x, _) in enumerate(sides.values())],
+        *[F.sum(w * x * F.col(probability)).alias(f"p{i}") for i, (x, _) in enumerate(sides.values())],
+    )
+    n = F.col("n")
+    rows = [
+        F.struct(F.lit(f).alias("feature"), (F.col(f"y{i}") / n).alias("observed"), ((F.col(f"p{i}") + F.lit(b / c)) / n).alias("fitted"))
+        for i, (f, (_, b)) in enumerate(sides.items())
+    ]
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def prepare(df: DataFrame, cfg: TrainConfig = TrainConfig()) -> DataFrame:
     """What a saved model expects: the features plus, with text, their terms."""
     if not cfg.use_text:
