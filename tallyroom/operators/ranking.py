@@ -44,13 +44,19 @@ def sorted_runs(df: DataFrame, order: Sequence[Column | str], label: str) -> Dat
     return durable(ranged.withColumn(_AT, F.monotonically_increasing_id()), label)
 
 
-def with_rank(runs: DataFrame, out: str) -> DataFrame:
-    """Sorted runs with the global 1-based rank instead of the place."""
+def _offsets(runs: DataFrame) -> tuple[list[tuple[int, int]], int]:
+    """Rows before each partition, and rows in all; one entry per partition."""
     sizes = runs.groupBy(_run().alias("run")).agg(F.count(F.lit(1)).alias("n")).collect()
     before, offsets = 0, []
     for run, n in sorted((r.run, r.n) for r in sizes):
         offsets.append((run, before))
         before += n
+    return offsets, before
+
+
+def with_rank(runs: DataFrame, out: str, offsets: list[tuple[int, int]] | None = None) -> DataFrame:
+    """Sorted runs with the global 1-based rank instead of the place."""
+    offsets = _offsets(runs)[0] if offsets is None else offsets
     shift = small_frame(runs.sparkSession, offsets, "_run bigint, _before bigint")
     return (
         runs.withColumn("_run", _run())
@@ -76,8 +82,9 @@ def global_dense_rank(
     """
     distinct = df.where(F.col(value).isNotNull()).select(value).distinct()
     order = F.col(value).desc() if descending else F.col(value).asc()
-    ranked = global_row_number(distinct, [order], out)
-    after_last = ranked.agg((F.count(F.lit(1)) + 1).alias(out)).first()[out]
+    runs = sorted_runs(distinct, [order], "dense-rank")
+    offsets, values = _offsets(runs)
+    ranked, after_last = with_rank(runs, out, offsets), values + 1
     present = df.where(F.col(value).isNotNull()).join(ranked, value)
     absent = df.where(F.col(value).isNull()).withColumn(out, F.lit(after_last).cast("bigint"))
     return present.select(*df.columns, out).unionByName(absent)
