@@ -70,3 +70,29 @@ def test_mixing_still_matches_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
     assert oracle.difference(mixing.mix(spark.read.parquet(f"{SMALL}/documents.parquet")), con, mixing.MIX_SQL) is None
+
+
+def test_neighbours_over_many_shards_and_blocks(spark):
+    """Results of seven graphs, asked in several blocks, merge to the nearest of all."""
+    import numpy as np
+
+    from tallyroom.llm import neighbours
+
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = table.collect()
+    x = np.array([r.embedding for r in rows], dtype=np.float64)
+    ids = np.array([r.vec_id for r in rows])
+    got = {}
+    for r in neighbours.nearest(table, F.col("vec_id") % 5 == 0, 10, shard_rows=80, query_rows=30).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert got.keys() == set(ids[ids % 5 == 0].tolist())
+    found = 0
+    for q, answers in got.items():
+        answers.sort()
+        score = x @ x[ids == q][0]
+        score[ids == q] = -np.inf
+        assert [a[0] for a in answers] == list(range(1, 11))
+        assert [(-a[2], a[1]) for a in answers] == sorted((-a[2], a[1]) for a in answers)
+        assert np.allclose([score[ids == a[1]][0] for a in answers], [a[2] for a in answers])
+        found += sum(a[2] >= np.sort(score)[-10] - 1e-9 for a in answers)
+    assert found >= 0.9 * 10 * len(got)
