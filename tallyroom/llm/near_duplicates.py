@@ -268,3 +268,22 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h"), F.md5(F.col(text_col)).alias("digest"))
     one = rows.where(F.col("id").isNotNull()).join(small_side(kept), "id", "left_semi").dropDuplicates(["id", "h", "digest"])
     return one.unionByName(rows.where(F.col("id").isNull())).select("row.*")
+
+
+#: The groups of ``width`` 4 and ``percent`` 80 in SQL: all texts with a common shingle are compared, so it is for small tables.
+GROUPS_SQL = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM split),
+members AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS n, any_value(y.n) AS m, count(*) AS c
+  FROM members x JOIN members y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE 100 * c >= 80 * (n + m - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+components AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN components USING (doc_id)"""

@@ -424,3 +424,45 @@ def trie(rows: DataFrame, members: DataFrame) -> DataFrame:
         .unionByName(local.withColumns({"parent_conv_id": own_parent, "ends_sha256": F.lit(None).cast("string")}).withColumn("ends_sha256", digest).select(*columns))
         .unionByName(root.join(digests.where("depth = 0"), _KEY, "left").withColumn("ends_sha256", digest).select(*columns))
     )
+
+
+#: The trie of conversations whose first turns come from others, in SQL: crc32 and all prefixes are spelled out.
+TRIE_SQL = """
+WITH ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+keys AS (
+  SELECT conv_id, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)
+    ), 4294967295::BIGINT) % 9 AS h
+  FROM ids),
+turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+originals AS (
+  SELECT conv_id, count(*) AS n,
+    list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || text)) AS turns
+  FROM turns GROUP BY conv_id),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(CASE WHEN h > 0 AND b.n > 0 THEN list_slice(b.turns, 1, h) ELSE [] END,
+      CASE WHEN c.n > h THEN list_slice(c.turns, h + 1, c.n) ELSE [] END) AS turns
+  FROM originals c JOIN keys USING (conv_id) LEFT JOIN originals b ON b.conv_id = c.conv_id - c.conv_id % 5),
+prefixes AS (SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM rebuilt),
+nodes AS (
+  SELECT depth, CASE WHEN depth > 0 THEN list_slice(turns, 1, depth) ELSE [] END AS p, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = depth), '') AS ends
+  FROM prefixes GROUP BY ALL),
+linked AS (
+  SELECT x.*, y.conv_id AS parent_conv_id
+  FROM nodes x LEFT JOIN nodes y ON y.depth = x.depth - 1 AND y.p = CASE WHEN x.depth > 1 THEN list_slice(x.p, 1, x.depth - 1) ELSE [] END),
+children AS (
+  SELECT depth - 1 AS depth, CASE WHEN depth > 1 THEN list_slice(p, 1, depth - 1) ELSE [] END AS p, count(*) AS n_children
+  FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (
+  SELECT l.*, coalesce(c.n_children, 0) AS n_children,
+    CASE WHEN l.depth > 0 THEN (l.n_convs - 1) * strlen(l.p[l.depth].text) ELSE 0 END AS saved
+  FROM linked l LEFT JOIN children c ON c.depth = l.depth AND c.p = l.p),
+above AS (SELECT unnest(range(0, depth + 1)) AS d, p, n_children, saved FROM counted),
+sums AS (
+  SELECT d AS depth, CASE WHEN d > 0 THEN list_slice(p, 1, d) ELSE [] END AS p,
+    count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM above GROUP BY ALL)
+SELECT c.conv_id, c.depth, c.parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(c.ends) AS ends_sha256
+FROM counted c JOIN sums s ON s.depth = c.depth AND s.p = c.p"""

@@ -86,7 +86,7 @@ def longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
-@_query("op8_min_max_near_duplicates")
+@_query("op8_min_max_near_duplicates", near_duplicates.GROUPS_SQL)
 def min_max_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_groups(_table(spark, sf_dir, "documents"), width=4)
 
@@ -119,7 +119,7 @@ def described_runs(docs: DataFrame) -> DataFrame:
     )
 
 
-@_query("op13_periodic_runs")
+@_query("op13_periodic_runs", runs.RUNS_SQL)
 def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return described_runs(_table(spark, sf_dir, "documents"))
 
@@ -133,7 +133,7 @@ def string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
 
 
-@_query("op11_conversation_prefix_trie")
+@_query("op11_conversation_prefix_trie", prefix_trie.TRIE_SQL)
 def conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("conv_id")
     rows = prefix_trie.prefixes(_table(spark, sf_dir, "conversations"))

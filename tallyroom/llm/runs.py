@@ -264,3 +264,39 @@ def cycled(key: Column, text: Column) -> Column:
         return pa.array(out, pa.string())
 
     return F.arrow_udf(turn, "string")(F.crc32(key.cast("string")), text)
+
+
+#: All runs after one text in ten was made to go round, in SQL: equal words of a text are paired, so it is for small tables.
+RUNS_SQL = """
+WITH keys AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+    xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)
+    ), 4294967295::BIGINT) AS h
+  FROM documents),
+sized AS (SELECT doc_id, words, len(words) AS n, h, h // 10 AS g FROM keys),
+cycles AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n ELSE n END AS a,
+    CASE WHEN h % 10 = 0 AND n > 0 THEN 1 + (n - g % n) // (3 + g % 8) ELSE 1 END AS p
+  FROM sized),
+words AS (
+  SELECT doc_id, n, i, words[CASE WHEN i >= a THEN a + (i - a) % p ELSE i END + 1] AS w
+  FROM (SELECT *, unnest(range(0, n)) AS i FROM cycles)),
+pairs AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i
+  FROM words x JOIN words y ON y.doc_id = x.doc_id AND y.w = x.w AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island),
+runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches WHERE length >= greatest(24, 3 * q) GROUP BY doc_id, start, length),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+    first(struct_pack(start := start, length := length, period := period) ORDER BY length::DOUBLE / period DESC, start, period) AS best
+  FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+  1000 * best.length // best.period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM cycles LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
