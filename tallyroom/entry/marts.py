@@ -189,6 +189,7 @@ def ntile(spark: SparkSession, d: str) -> DataFrame:
         "o_custkey",
         F.when(F.col("o_orderstatus") != "P", 1).alias("known"),
     )
+    orders = durable(orders.repartition("o_orderkey"), "ntile-input")  # the file may be a single task
     axes = {
         "price_bucket": Axis("o_totalprice"),
         "customer_bucket": Axis("o_custkey", descending=True),
@@ -210,6 +211,7 @@ def ntile_of_big_keys(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select(
         "o_orderkey", (F.lit(9007199254740993) + F.col("o_custkey")).alias("big"), F.col("o_orderdate").cast("date").alias("on")
     )
+    orders = durable(orders.repartition("o_orderkey"), "ntile-input")  # the file may be a single task
     axes = {"up": Axis("big"), "down": Axis("big", descending=True), "day": Axis("on")}
     return global_ntile(orders, 9, axes, "o_orderkey").select("o_orderkey", *axes)
 

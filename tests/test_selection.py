@@ -129,3 +129,31 @@ def test_auc_against_all_pairs(spark):
         assert roc_auc(df).first()[0] == pytest.approx(((pos > neg) + (pos == neg) / 2).mean(), abs=1e-12)
     assert roc_auc(df.where("label = 1")).first()[0] is None
     assert roc_auc(df.limit(0)).first()[0] is None
+
+
+@pytest.mark.parametrize("value", [(1 << 53) + 1, -(1 << 53) - 1, (1 << 63) - 1, -(1 << 63), (1 << 60) + 3])
+def test_many_rows_of_a_big_key_end(spark, monkeypatch, value):
+    """Keys that the sketch, which works in DOUBLE, rounds to a neighbour: each round must narrow the search."""
+    monkeypatch.setattr(S, "FEW", 3)
+    narrow, rounds = S._bracket, []
+
+    def counted(df, cells):
+        rounds.append(1)
+        assert len(rounds) < 80, "no progress"
+        narrow(df, cells)
+
+    monkeypatch.setattr(S, "_bracket", counted)
+    near = [value] * 10 + [v for v in (value - 1, value + 1) if -(1 << 63) <= v < 1 << 63] * 5 + [5, -(1 << 63) + 7, (1 << 63) - 9]
+    df, key = keys_of(spark, near, "bigint")
+    known, _ = S.extents(df, {"a": key}, {"a": [0.5]})
+    got = S.spots(df, {"a": key}, known, {"a": list(range(len(near)))})["a"]
+    assert [got[r].key for r in range(len(near))] == sorted(near)
+
+
+def test_ties_read_only_their_own_rows(spark, monkeypatch):
+    seen, spots = [], S.spots
+    monkeypatch.setattr(S, "spots", lambda df, *more: seen.append(df.count()) or spots(df, *more))
+    df = spark.range(10_000).select("id", (F.col("id") % 1000).alias("v")).repartition(3)
+    ties = {v: (F.col("v") == v, [0, 9], 10) for v in (3, 500)}
+    assert S.nth_of_ties(df, ties, "id") == {(3, 0): 3, (3, 9): 9003, (500, 0): 500, (500, 9): 9500}
+    assert seen and max(seen) == 20
