@@ -51,7 +51,12 @@ def _first_lines(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
         F.monotonically_increasing_id().alias("at"),
         "value",
     )
-    first = lines.where("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("line")).collect()  # a row per file
+    # Numbers only are grouped, in a hash table of one entry a file: to group lines they would all be sorted.
+    begins = lines.where("start = 0").groupBy("path").agg(F.min("at").alias("at"))
+    at = [r["at"] for r in begins.collect()]  # a row per file
+    first = lines.where(F.col("at").isin(at)).select("path", F.col("value").alias("line")).collect()
+    if len({r.path for r in first}) < len(at):
+        raise RuntimeError("files changed while they were read")
     by_line: dict[str, list[str]] = {}
     for r in sorted(first, key=lambda r: r.path):
         by_line.setdefault(r.line, []).append(r.path)

@@ -213,3 +213,26 @@ def test_two_streams_fill_one_target(spark, tmp_path):
         for _ in range(2):  # the second run finds nothing new
             ingest_stream(spark, "payments", str(tmp_path / name), str(tmp_path / "out"), str(tmp_path / f"state-{name}")).awaitTermination()
     assert sorted(r.order_id for r in sinks.read_bronze(spark, str(tmp_path / "out")).collect()) == ["a", "b"]
+
+
+def test_first_lines_sort_no_file(spark, tmp_path):
+    """The first lines of large and small files, without a sort of all their lines."""
+    from tallyroom.streaming.ingest import _first_lines
+
+    for i in range(5):
+        (tmp_path / f"f{i}.csv").write_text("".join([f"h{i % 2}\n", *(f"{j}\n" for j in range(3000, 0, -1))]))
+    (tmp_path / "empty.csv").write_text("")
+    plans = []
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        paths = sorted(str(p) for p in tmp_path.glob("*.csv"))
+        collect = type(spark.range(1)).collect
+        type(spark.range(1)).collect = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df)
+        try:
+            found = _first_lines(spark, paths)
+        finally:
+            type(spark.range(1)).collect = collect
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {line: len(files) for line, files in found.items()} == {"h0": 3, "h1": 2}
+    assert plans and not any("Sort" in plan for plan in plans)
