@@ -2,8 +2,9 @@
 
 P(w | v) = (1 - SHARE) P(w) + SHARE c(v, w) / c(v), and P(w) after a word v
 that training has not seen, with P(w) the smoothed share of w among all
-training tokens and pairs met once left out. The trie's
-first level holds words, the second the words v before each of them, sorted
+training tokens. Every pair counts, also those met once, so the shares of a
+context add up to 1 and P(w | v) to what P(w) adds up to. The trie's first
+level holds words, the second the words v before each of them, sorted
 within the range that a rising pointer array gives; words, pointers and
 contexts are Elias-Fano coded, probabilities are one of 256 levels. A pair is
 looked up by successor search inside its word's range.
@@ -11,7 +12,7 @@ looked up by successor search inside its word's range.
 Neither model nor corpus meets in one place:
 
 1. word counts over all training texts (summed per block of texts first);
-2. pair counts, dealt by context v, where c(v) is known; what is kept goes on
+2. pair counts, dealt by context v, where c(v) is known; they go on
    to the shard of w, where the trie of that shard is built and written to the
    shared folder as flat byte arrays;
 3. all texts again, as postings (word, context, text, times) dealt by w; each
@@ -44,7 +45,7 @@ from tallyroom.llm.words import U64, mix, word_hashes
 from tallyroom.sources.durable import durable
 
 SHARE = 0.1
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 2_000_000
 LEAST_BITS = 4  # 16 shards at least
 END = U64(0x9D39247E33776D41)
 START = U64(0x2AF7398005AAA5C7)
@@ -197,18 +198,24 @@ def _joined(column: pd.Series, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype=kind)
 
 
-def _kept_pairs(counts: DataFrame, info: Corpus) -> DataFrame:
-    """Pairs met twice or more with their share of the context, dealt by word; ``tokens`` counts all."""
+def _shared_pairs(counts: DataFrame, info: Corpus) -> DataFrame:
+    """All pairs with their share of the context, dealt by word; ``tokens`` counts their times."""
 
     def keep(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         v = np.repeat(_joined(pdf["v"], "<u8"), _joined(pdf["n"], "<u4"))
         w = (_joined(pdf["hi"], "<u4").astype(U64) << U64(8)) | _joined(pdf["lo"], "u1").astype(U64)
-        times = _joined(pdf["times"], "<u4").astype(np.int64)
+        times = _joined(pdf["times"], "<u4")
+        del pdf
         order = np.lexsort((w, v)).astype(np.int32)
-        v, w, times = v[order], w[order], times[order]
+        v = v[order]  # one after the other: of each only one copy at a time
+        w = w[order]
+        times = times[order]
         del order
         starts = _runs(mix(v) + w)  # neighbours equal in both
-        v, w, times = v[starts], w[starts], np.add.reduceat(times, starts)
+        v = v[starts]
+        w = w[starts]
+        times = np.add.reduceat(times, starts, dtype=np.int64)
+        del starts
         begins = _runs(v)
         total = np.repeat(np.add.reduceat(times, begins), np.diff(np.append(begins, len(v))))
         if len(info.hot):  # dealt by both words: the whole count is known from step 1
@@ -217,10 +224,7 @@ def _kept_pairs(counts: DataFrame, info: Corpus) -> DataFrame:
         share = (times / total).astype(np.float32)
         rows = []
         for shard, at in _by_shard(info.word_shard(w << U64(24), v)):
-            some = at[times[at] >= 2]
-            rows.append(
-                (shard, int(times[at].sum()), w[some].tobytes(), (v[some] >> U64(32)).astype("<u4").tobytes(), share[some].tobytes())
-            )
+            rows.append((shard, int(times[at].sum()), w[at].tobytes(), (v[at] >> U64(32)).astype("<u4").tobytes(), share[at].tobytes()))
         return pd.DataFrame(rows, columns=["shard", "tokens", "w", "v", "share"])
 
     return durable(
@@ -242,16 +246,27 @@ class Trie:
     @classmethod
     def build(cls, w: np.ndarray, c: np.ndarray, pair_w: np.ndarray, pair_v: np.ndarray, share: np.ndarray, info: Corpus) -> Trie:
         """From sorted words with counts and pairs (upper 40 bits of the word, 32 of the context)."""
-        at = np.searchsorted(w >> U64(24), pair_w)
-        known = (at < len(w)) & ((w >> U64(24))[np.minimum(at, max(0, len(w) - 1))] == pair_w) if len(w) else np.zeros(0, bool)
-        at, pair_v, share = at[known], pair_v[known], share[known]
-        key = (at.astype(U64) << U64(32)) | pair_v.astype(U64)
-        order = np.argsort(key, kind="stable")
-        starts = _runs(key[order])
-        key, at, share = key[order][starts], at[order][starts], share[order][starts]
+        upper = w >> U64(24)
+        key = np.searchsorted(upper, pair_w).astype(U64)
+        known = upper[np.minimum(key, U64(max(0, len(w) - 1))).astype(np.intp)] == pair_w if len(w) else np.zeros(len(pair_w), bool)
+        if not known.all():
+            key, pair_v, share = key[known], pair_v[known], share[known]
+        del known
+        key <<= U64(32)
+        key |= pair_v
+        order = np.argsort(key, kind="stable").astype(np.uint32)
+        key = key[order]
+        share = share[order]
+        del order
+        starts = _runs(key)
+        if len(starts) < len(key):
+            key, share = key[starts], share[starts]
+        del starts
+        at = (key >> U64(32)).astype(np.int64)
         log_p = np.log10((1 - SHARE) * info.p(c[at]) + SHARE * share)
         book = np.unique(np.quantile(log_p, np.linspace(0, 1, _LEVELS))) if len(log_p) else np.zeros(1)
-        codes = np.abs(np.searchsorted((book[1:] + book[:-1]) / 2, log_p)).astype(np.uint8)
+        codes = np.searchsorted((book[1:] + book[:-1]) / 2, log_p).astype(np.uint8)
+        del log_p
         pointers = np.searchsorted(at, np.arange(len(w) + 1)).astype(U64)
         return cls(
             EliasFano.encode(w, 1 << 64),
@@ -396,10 +411,10 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     )
     training = rows.where(~F.col("held_out")).select("key", "text")
     info, words = corpus(training)
-    pairs = _kept_pairs(_pair_counts(training, info), info)
+    pairs = _shared_pairs(_pair_counts(training, info), info)
     model = _tries(words, pairs, info)
     tokens = {r.shard: r.n for r in pairs.groupBy("shard").agg(F.sum("tokens").alias("n")).collect()}  # one row per shard
-    tasks = [max(1, math.ceil(tokens.get(s, 0) / (4 * SHARD_TOKENS))) for s in range(1 << info.bits)]
+    tasks = [max(1, math.ceil(tokens.get(s, 0) / (8 * SHARD_TOKENS))) for s in range(1 << info.bits)]
     postings = _postings(rows.select("key", "text"), info, tasks)
     parts = F.element_at(F.array(*[F.lit(t) for t in tasks]), F.col("shard") + 1) if max(tasks) > 1 else F.lit(1)
     served = model.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))

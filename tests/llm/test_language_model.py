@@ -44,3 +44,25 @@ def test_without_training_texts_all_is_base(spark):
     df = spark.createDataFrame([(0, "a b"), (1, ""), (2, None)], "doc_id int, text string")
     for r in score(df, F.lit(True)).collect():
         assert math.isclose(r.score, r.base_score) and r.train_tokens == 0 and r.n_known == 0
+
+
+def test_pairs_met_once_count(spark):
+    """After a known word the probabilities of all known words add up to what P(w) adds up to."""
+    training = ["a b", "a c", "a b d", "d"]
+    words = ["a", "b", "c", "d"]
+    df = spark.createDataFrame(
+        [(i, t, False) for i, t in enumerate(training)] + [(10 + i, f"a {w}", True) for i, w in enumerate(words)] + [(20, "a", True)],
+        "doc_id int, text string, held boolean",
+    )
+    got = {r.doc_id: r for r in score(df, F.col("held")).collect()}
+    tokens, distinct = 12, 5
+    count = Counter(" ".join(training).split()) | Counter({None: len(training)})
+    p = lambda w: (count[w] + 0.5) / (tokens + 0.5 * (distinct + 1))
+    pair, after = Counter(), {"a": 3, "b": 2, "c": 1, "d": 2, "<s>": 4}
+    for t in training:
+        row = ["<s>", *t.split(), None]
+        pair.update(zip(row, row[1:]))
+    q = lambda v, w: (1 - SHARE) * p(w) + SHARE * pair[v, w] / after[v]
+    for i, w in enumerate(words):
+        expected = math.log10(q("<s>", "a")) + math.log10(q("a", w)) + math.log10(q(w, None))
+        assert math.isclose(got[10 + i].score, expected, abs_tol=0.01), w
