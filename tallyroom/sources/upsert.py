@@ -4,12 +4,14 @@ Rows are dealt to buckets by a hash of their key. A delivery is reduced to the
 latest row of each key, the buckets it touches are read, merged and written as
 a new generation, and an event names the generation that each bucket now has.
 Untouched buckets are neither read nor written, so a delivery costs what it
-touches, and delivering the same rows again changes nothing. Readers see the
+touches, and delivering the same rows again changes nothing. However large a
+bucket or a delivery is, a task holds a bounded part of its keys. Readers see the
 table as of the last event; a merge that breaks off leaves it as it was.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -22,7 +24,8 @@ from tallyroom.sources.durable import durable, owned
 from tallyroom.sources.events import append_events, newest, read_events
 from tallyroom.sources.readers import utc_now
 
-_BUCKET = "_bucket"
+_BUCKET, _PART = "_bucket", "_part"
+PART_ROWS = 1 << 18  # rows that a task should hold; a bucket of more is merged by several tasks
 
 
 @dataclass(frozen=True)
@@ -83,8 +86,18 @@ def upsert(table: KeyedTable, delivery: DataFrame, order: Sequence[Column] | Non
         return _upsert(table, delivery, order)
 
 
+def _dealt(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """Dealt by columns, over more partitions than usual where rows are many."""
+    n = math.ceil(rows / PART_ROWS)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *columns) if n > usual else df.repartition(*columns)
+
+
 def _upsert(table: KeyedTable, delivery: DataFrame, order: Sequence[Column] | None) -> list[int]:
     spark = delivery.sparkSession
+    rows = delivery.count()
+    if rows > PART_ROWS:  # by whole rows: a task trims a bounded part, also of a key repeated very often
+        delivery = delivery.repartition(math.ceil(rows / PART_ROWS), *delivery.columns)
     # Trimmed to a row per key before anything else, so a key repeated very often is no hot bucket.
     latest = durable(latest_per_key(delivery, table.keys, order).withColumn(_BUCKET, _bucket(table)), "upsert")
     touched = sorted(r[0] for r in latest.select(_BUCKET).distinct().collect())  # at most the number of buckets
@@ -92,13 +105,16 @@ def _upsert(table: KeyedTable, delivery: DataFrame, order: Sequence[Column] | No
         return []
     known = generations(spark, table)
     stored = _read(spark, table, {b: g for b, g in known.items() if b in set(touched)})
-    merged = latest
+    rows = latest.count() + (stored.count() if stored is not None else 0)  # from the file footers
+    parts = math.ceil(rows / len(touched) / PART_ROWS)
+    part = F.pmod(F.xxhash64(F.lit(_PART), *table.keys), F.lit(parts)).cast("int")
+    # The bucket first: rows are dealt by it once, for the merge and for the write.
+    merged = latest.withColumn(_PART, part)
     if stored is not None:
-        both = stored.withColumn(_BUCKET, _bucket(table)).unionByName(latest, allowMissingColumns=True)
-        # The bucket first: rows are dealt by it once, for the merge and for the write.
-        merged = latest_per_key(both.repartition(_BUCKET), (_BUCKET, *table.keys), order)
+        both = stored.withColumn(_BUCKET, _bucket(table)).withColumn(_PART, part).unionByName(merged, allowMissingColumns=True)
+        merged = latest_per_key(_dealt(both, rows, _BUCKET, _PART), (_BUCKET, _PART, *table.keys), order)
     generation = uuid.uuid4().hex
-    merged.repartition(_BUCKET).write.partitionBy(_BUCKET).parquet(f"{table.data}/generation={generation}")
+    _dealt(merged, rows, _BUCKET, _PART).drop(_PART).write.partitionBy(_BUCKET).parquet(f"{table.data}/generation={generation}")
     at = utc_now()
     append_events(spark, table.events, [(str(b), None, "generation", generation, at, None, None) for b in touched])
     return touched

@@ -197,3 +197,18 @@ def test_unreadable_requests_keep_their_text(spark, tmp_path):
         (lines[1], "line is no readable request", "r.json"), (lines[3], "line is no readable request", "r.json"),
         (None, "payment_type_encoded outside 0..4", "r.json"),
     }
+
+
+def test_a_large_bucket_is_merged_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(U, "PART_ROWS", 100)
+    kept = U.KeyedTable(str(tmp_path / "keyed"), ("id",), buckets=2)
+    first = spark.range(2000).select("id", F.lit("a").alias("v"), F.lit("1").alias("_loaded_at"))
+    again = spark.range(1000, 2500).select("id", F.lit("b").alias("v"), F.lit("2").alias("_loaded_at"))
+    for delivery in (first.unionByName(first), again, again):
+        U.upsert(kept, delivery)
+    of = U.generations(spark, kept)
+    for bucket, generation in of.items():
+        assert len(list((tmp_path / "keyed/data" / f"generation={generation}" / f"_bucket={bucket}").glob("*.parquet"))) > 3
+    got = U.read_keyed(spark, kept)
+    assert got.columns == ["id", "v", "_loaded_at"]
+    assert sorted((r.id, r.v) for r in got.collect()) == [(i, "a" if i < 1000 else "b") for i in range(2500)]
