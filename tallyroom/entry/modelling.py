@@ -39,7 +39,8 @@ def tokenise(spark: SparkSession, d: str) -> DataFrame:
 
 @query("tfidf_vocabulary", _TERMS + " SELECT term, n_total, n_docs FROM vocabulary")
 def tfidf_vocabulary(spark: SparkSession, d: str) -> DataFrame:
-    return L.vocabulary(L.with_terms(spread(table(spark, d, "documents"), "doc_id"), "text"))
+    documents = spread(table(spark, d, "documents"), "doc_id")
+    return L.vocabulary(L.with_terms(documents, "text", ngrams=(1, 1)), ngrams=(1, 2))
 
 
 @query(

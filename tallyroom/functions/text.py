@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 
 import pandas as pd
@@ -24,10 +25,23 @@ def _marks() -> re.Pattern:
     return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(begins, ends)) + "]+")
 
 
+def _plain(run: str) -> str:
+    return _marks().sub("", unicodedata.normalize("NFKD", run))
+
+
+@lru_cache(1 << 14)
+def _short_plain(run: str) -> str:
+    return _plain(run)
+
+
+_NOT_ASCII = re.compile(r"[^\x00-\x7F]+")
+
+
 @F.pandas_udf(T.StringType())
 def _without_marks(texts: pd.Series) -> pd.Series:
-    marks = _marks()
-    return texts.map(lambda text: marks.sub("", unicodedata.normalize("NFKD", text)), na_action="ignore")
+    """Only runs of non-ASCII characters are looked at: each is decomposed on its own, ASCII stays as it is."""
+    replaced = lambda m: (_short_plain if len(m[0]) < 16 else _plain)(m[0])
+    return texts.map(lambda text: _NOT_ASCII.sub(replaced, text), na_action="ignore")
 
 
 def strip_accents(c: Column) -> Column:
@@ -44,14 +58,29 @@ def words(c: Column) -> Column:
     return F.regexp_extract_all(strip_accents(F.lower(c)), F.lit(WORD), F.lit(0))
 
 
+def _neighbours(word_list: Column, joined: Callable[[Column, Column], Column]) -> Column:
+    n = F.greatest(F.size(word_list) - 1, F.lit(0))
+    return F.zip_with(F.slice(word_list, F.lit(1), n), F.slice(word_list, F.lit(2), n), joined)
+
+
 def with_pairs(word_list: Column) -> Column:
     """The words followed by each pair of neighbours joined by a space."""
-    pairs = F.zip_with(
-        F.slice(word_list, F.lit(1), F.greatest(F.size(word_list) - 1, F.lit(0))),
-        F.slice(word_list, F.lit(2), F.greatest(F.size(word_list) - 1, F.lit(0))),
-        lambda left, right: F.concat_ws(" ", left, right),
-    )
-    return F.concat(word_list, pairs)
+    return F.concat(word_list, _neighbours(word_list, lambda left, right: F.concat_ws(" ", left, right)))
+
+
+def some_pairs(word_list: Column, first: Sequence[str], second: Sequence[str] | None) -> Column:
+    """Pairs of neighbours that begin and end with one of the given words (None: any word)."""
+
+    def joined(left: Column, right: Column) -> Column:
+        wanted = left.isin(*first) if second is None else left.isin(*first) & right.isin(*second)
+        return F.when(wanted, F.concat_ws(" ", left, right))
+
+    return F.array_compact(_neighbours(word_list, joined))
+
+
+def is_pair(term: Column) -> Column:
+    """A word holds no space."""
+    return F.contains(term, F.lit(" "))
 
 
 def term_marks(terms: Column) -> Column:

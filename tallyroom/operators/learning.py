@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyroom.functions.exprs import hash_part, row_md5
-from tallyroom.functions.text import term_marks, with_pairs, words
+from tallyroom.functions.text import is_pair, some_pairs, with_pairs, words
 from tallyroom.operators.selection import extent_columns, extent_of, extents, nth_of_ties, order_key, quantiles, spots
+from tallyroom.sources.durable import small_frame
 
 
 class TrainingRefused(RuntimeError):
@@ -204,30 +205,46 @@ def with_terms(df: DataFrame, text: str, out: str = "terms", ngrams: tuple[int,
 def term_counts(df: DataFrame, terms: str = "terms") -> DataFrame:
     """``term, n_total, n_docs`` over all documents.
 
-    Both counts come from one map-side combined shuffle on the term, so a term
-    found everywhere is one partial row per task; (document, term) pairs are
-    never shuffled.
+    Every term of a document comes first, then every distinct one; both counts
+    come from one map-side combined shuffle on the term, so a term found
+    everywhere is one partial row per task; (document, term) pairs are never
+    shuffled.
     """
-    return (
-        df.select(F.inline(term_marks(F.col(terms))))
-        .groupBy("term")
-        .agg(F.sum("total").alias("n_total"), F.sum("docs").alias("n_docs"))
-    )
+    n = F.size(terms)
+    marked = df.select(terms, n.alias("n")).select("n", F.posexplode(F.concat(F.col(terms), F.array_distinct(terms))).alias("at", "term"))
+    total = F.count(F.when(F.col("at") < F.col("n"), 1))
+    return marked.groupBy("term").agg(total.alias("n_total"), (F.count(F.lit(1)) - total).alias("n_docs"))
+
+
+def _most_frequent(counts: DataFrame, max_features: int, min_df: int) -> DataFrame:
+    return counts.where(F.col("n_docs") >= min_df).orderBy(F.col("n_total").desc(), F.col("term").asc()).limit(max_features)
 
 
 def vocabulary(
-    df: DataFrame, terms: str = "terms", max_features: int = 500, min_df: int = 5
+    df: DataFrame, terms: str = "terms", max_features: int = 500, min_df: int = 5, ngrams: tuple[int, int] | None = None
 ) -> DataFrame:
     """The most frequent terms found in at least ``min_df`` documents.
 
     Ties at the cut go to the smaller term. At most ``max_features`` rows.
+    ``terms`` is as :func:`with_terms` makes it, or holds just the words where
+    ``ngrams`` says what to count. It is read twice: words are counted first,
+    then only pairs that can still be among the most frequent. A pair is found
+    no more often than either of its words and sorts after the first, so its
+    first word is among the most frequent itself, its second counts as much
+    as the last of them or more.
     """
-    return (
-        term_counts(df, terms)
-        .where(F.col("n_docs") >= min_df)
-        .orderBy(F.col("n_total").desc(), F.col("term").asc())
-        .limit(max_features)
-    )
+    word_lists = df.select(F.col(terms) if ngrams else F.filter(terms, lambda t: ~is_pair(t)).alias(terms))
+    known = _most_frequent(term_counts(word_lists, terms), 4 * max_features + 1, min_df).collect()
+    best, spark = known[:max_features], df.sparkSession
+    found = small_frame(spark, [(r.term, r.n_total, r.n_docs) for r in best], "term string, n_total bigint, n_docs bigint")
+    if not best or ngrams == (1, 1):
+        return found
+    least = best[-1].n_total if len(best) == max_features else 0
+    second = [r.term for r in known if r.n_total >= least]
+    if len(second) > 4 * max_features:  # a tie of more words than were read
+        second = None
+    pairs = word_lists.select(some_pairs(F.col(terms), [r.term for r in best], second).alias(terms))
+    return _most_frequent(found.unionByName(term_counts(pairs, terms)), max_features, min_df)
 
 
 def smooth_idf(n_docs: Column, n: Column) -> Column:
@@ -254,12 +271,12 @@ class TextWeights:
 
 
 def fit_tfidf(
-    df: DataFrame, terms: str = "terms", max_features: int = 500, min_df: int = 5
+    df: DataFrame, terms: str = "terms", max_features: int = 500, min_df: int = 5, ngrams: tuple[int, int] | None = None
 ) -> TextWeights:
-    """Choose the vocabulary; only its at most ``max_features`` rows are collected."""
+    """Choose the vocabulary; only its at most ``max_features`` rows are collected. ``ngrams`` as for :func:`vocabulary`."""
     n = df.count()
     chosen = (
-        vocabulary(df, terms, max_features, min_df)
+        vocabulary(df, terms, max_features, min_df, ngrams)
         .select("term", smooth_idf(F.col("n_docs").cast("double"), F.lit(float(n))).alias("idf"))
         .collect()
     )
@@ -276,11 +293,16 @@ def tfidf(
     ngrams: tuple[int, int] = (1, 2),
 ) -> DataFrame:
     """``key, term, weight``: L2-normalised smooth TF-IDF in long form."""
-    termed = with_terms(df.select(key, text), text, "terms", ngrams)
-    weights = fit_tfidf(termed, "terms", max_features, min_df)
+    worded = with_terms(df.select(key, text), text, "terms", (1, 1))
+    weights = fit_tfidf(worded, "terms", max_features, min_df, ngrams)
     if not weights.terms:
-        return termed.select(key, F.lit("").alias("term"), F.lit(0.0).alias("weight")).limit(0)
-    vectors = termed.select(key, "terms")
+        return worded.select(key, F.lit("").alias("term"), F.lit(0.0).alias("weight")).limit(0)
+    # Only terms of the vocabulary go on to the model's stages, which take them as objects.
+    halves = [list(dict.fromkeys(t.split(" ")[i] for t in weights.terms if " " in t)) for i in (0, 1)]
+    kept = F.filter("terms", lambda t: t.isin(*weights.terms))
+    if halves[0]:
+        kept = F.concat(kept, F.filter(some_pairs(F.col("terms"), *halves), lambda t: t.isin(*weights.terms)))
+    vectors = worded.select(key, kept.alias("terms"))
     for stage in weights.stages():
         vectors = stage.transform(vectors)
     names = F.array(*[F.lit(t) for t in weights.terms])

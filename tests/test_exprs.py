@@ -120,3 +120,11 @@ def test_term_marks(spark):
     df = spark.createDataFrame([(["b", "a", "b"],)], "t array<string>")
     rows = df.select(F.inline(term_marks(F.col("t")))).groupBy("term").sum().collect()
     assert {(r.term, r["sum(total)"], r["sum(docs)"]) for r in rows} == {("a", 1, 1), ("b", 2, 1)}
+
+
+def test_accents_in_runs_of_other_characters(spark):
+    import unicodedata
+
+    texts = ["cafe\u0301 \u00e9t\u00e9 \ufb01n \u00bd", "\u0391\u0301\u0314\u0308 \uac00\u11a8 \u1e69\u0307", "\u00e9" * 40 + "x" + "\u0151" * 3]
+    want = ["".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)) for t in texts]
+    assert cells(spark, texts, strip_accents(F.col("c"))) == want

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -67,6 +68,28 @@ def test_tfidf_by_hand(spark):
     assert got == pytest.approx(want)
 
 
+def test_vocabulary_counts_only_pairs_that_can_be_chosen(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["aa", "bb", "cc", "dd", "ee", f"rare{i}"]) for _ in range(12)) for i in range(60)]
+    texts += ["tie one", "tie two"] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(3)
+    total, docs = Counter(), Counter()
+    for text in texts:
+        w = text.split()
+        terms = w + [f"{a} {b}" for a, b in zip(w, w[1:])]
+        total.update(terms)
+        docs.update(set(terms))
+    counted = []
+    count = L.term_counts
+    monkeypatch.setattr(L, "term_counts", lambda d, terms="terms": counted.append(count(d, terms)) or counted[-1])
+    for k in (3, 20):
+        want = sorted((-n, t, docs[t]) for t, n in total.items() if docs[t] >= 3)[:k]
+        for listed in (L.vocabulary(L.with_terms(df, "t"), "terms", k, 3), L.vocabulary(L.with_terms(df, "t", "terms", (1, 1)), "terms", k, 3, (1, 2))):
+            assert [(-r.n_total, r.term, r.n_docs) for r in listed.collect()] == want
+            # Pairs of words that are too rare are never counted.
+            assert not [r.term for r in counted[-1].collect() if "rare" in r.term]
+
+
 def test_tfidf_without_common_terms(spark):
     df = spark.createDataFrame([(1, "solo words here")], "id int, t string")
     assert L.tfidf(df, "id", "t").count() == 0
