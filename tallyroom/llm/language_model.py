@@ -178,14 +178,12 @@ def _pair_counts(texts: DataFrame, info: Corpus) -> DataFrame:
             for shard, at in _by_shard(info.context_shard(v, w)):
                 at = at[np.argsort(v[at], kind="stable")]
                 starts = _runs(v[at])
-                upper = w[at] >> U64(24)
                 rows.append(
                     (
                         shard,
                         v[at][starts].tobytes(),
                         np.diff(np.append(starts, len(at))).astype("<u4").tobytes(),
-                        (upper >> U64(8)).astype("<u4").tobytes(),
-                        (upper & U64(255)).astype(np.uint8).tobytes(),
+                        *_upper_bytes(w[at] >> U64(24)),
                         times[at].astype("<u4").tobytes(),
                     )
                 )
@@ -198,12 +196,24 @@ def _joined(column: pd.Series, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype=kind)
 
 
+def _upper_bytes(upper: np.ndarray) -> tuple[bytes, bytes]:
+    """The upper 40 bits of words as four bytes and one."""
+    return (upper >> U64(8)).astype("<u4").tobytes(), (upper & U64(255)).astype(np.uint8).tobytes()
+
+
+def _upper(pdf: pd.DataFrame) -> np.ndarray:
+    w = _joined(pdf["hi"], "<u4").astype(U64)
+    w <<= U64(8)
+    w |= _joined(pdf["lo"], "u1")
+    return w
+
+
 def _shared_pairs(counts: DataFrame, info: Corpus) -> DataFrame:
     """All pairs with their share of the context, dealt by word; ``tokens`` counts their times."""
 
     def keep(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         v = np.repeat(_joined(pdf["v"], "<u8"), _joined(pdf["n"], "<u4"))
-        w = (_joined(pdf["hi"], "<u4").astype(U64) << U64(8)) | _joined(pdf["lo"], "u1").astype(U64)
+        w = _upper(pdf)
         times = _joined(pdf["times"], "<u4")
         del pdf
         order = np.lexsort((w, v)).astype(np.int32)
@@ -224,11 +234,12 @@ def _shared_pairs(counts: DataFrame, info: Corpus) -> DataFrame:
         share = (times / total).astype(np.float32)
         rows = []
         for shard, at in _by_shard(info.word_shard(w << U64(24), v)):
-            rows.append((shard, int(times[at].sum()), w[at].tobytes(), (v[at] >> U64(32)).astype("<u4").tobytes(), share[at].tobytes()))
-        return pd.DataFrame(rows, columns=["shard", "tokens", "w", "v", "share"])
+            hi, lo = _upper_bytes(w[at])
+            rows.append((shard, int(times[at].sum()), hi, lo, (v[at] >> U64(32)).astype("<u4").tobytes(), share[at].tobytes()))
+        return pd.DataFrame(rows, columns=["shard", "tokens", "hi", "lo", "v", "share"])
 
     return durable(
-        counts.groupBy("shard").applyInPandas(keep, "shard int, tokens bigint, w binary, v binary, share binary"), "lm-pairs"
+        counts.groupBy("shard").applyInPandas(keep, "shard int, tokens bigint, hi binary, lo binary, v binary, share binary"), "lm-pairs"
     )
 
 
@@ -333,13 +344,13 @@ def _tries(words: DataFrame, pairs: DataFrame, info: Corpus) -> DataFrame:
         c = np.append(counted["c"].to_numpy(np.int64), info.hot_counts)
         w, first = np.unique(w, return_index=True)  # a hot word stands in every shard
         trie = Trie.build(
-            w, c[first], _joined(kept["w"], "<u8"), _joined(kept["v"], "<u4"), _joined(kept["share"], "<f4"), info
+            w, c[first], _upper(kept), _joined(kept["v"], "<u4"), _joined(kept["share"], "<f4"), info
         )
         return pd.DataFrame([{"shard": key[0], **trie.to_row()}])
 
     every = words.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
-    all_kept = pairs.select("shard", "w", "v", "share").unionByName(
-        every.select("shard", *[F.lit(b"").alias(x) for x in ("w", "v", "share")])
+    all_kept = pairs.select("shard", "hi", "lo", "v", "share").unionByName(
+        every.select("shard", *[F.lit(b"").alias(x) for x in ("hi", "lo", "v", "share")])
     )
     return durable(
         dealt.groupBy("shard").cogroup(all_kept.groupBy("shard")).applyInPandas(build, _TRIE), "lm-trie"

@@ -7,7 +7,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from tallyroom.llm.language_model import SHARE, score
+from tallyroom.llm.language_model import SHARE, _pair_counts, _shared_pairs, corpus, score
 
 
 def formula(training, texts):
@@ -66,3 +66,14 @@ def test_pairs_met_once_count(spark):
     for i, w in enumerate(words):
         expected = math.log10(q("<s>", "a")) + math.log10(q("a", w)) + math.log10(q(w, None))
         assert math.isclose(got[10 + i].score, expected, abs_tol=0.01), w
+
+
+def test_pairs_keep_five_bytes_of_a_word(spark):
+    """A pair takes 13 bytes: 40 bits of its word, 32 of its context and the share."""
+    texts = spark.createDataFrame([(i, f"w{i % 7} x{i} w{i % 3}") for i in range(50)], "key bigint, text string")
+    info, _ = corpus(texts)
+    pairs = _shared_pairs(_pair_counts(texts, info), info)
+    assert "w" not in pairs.columns
+    distinct = {p for r in texts.collect() for p in zip(["<s>", *r.text.split()], [*r.text.split(), None])}
+    sizes = {c: pairs.agg(F.sum(F.octet_length(c))).first()[0] for c in ("hi", "lo", "v", "share")}
+    assert sizes == {"hi": 4 * len(distinct), "lo": len(distinct), "v": 4 * len(distinct), "share": 4 * len(distinct)}
