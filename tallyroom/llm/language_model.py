@@ -15,14 +15,16 @@ Neither model nor corpus meets in one place:
 2. pair counts, dealt by context v, where c(v) is known; they go on
    to the shard of w, where the trie of that shard is built and written to the
    shared folder as flat byte arrays;
-3. all texts again, as postings (word, context, text, times) dealt by w; each
-   shard's task looks them up in its trie and returns sums by text.
+3. all texts again in blocks: the distinct pairs of a block, dealt by w, are
+   looked up in the trie of their shard; one row of codes per block and shard
+   comes back and meets the block's tokens, numbers of its pairs. A block asks
+   for a pair once, however many shards there are.
 
 Shards hold about ``SHARD_TOKENS`` tokens each, so their number grows with
 the corpus. Words above a quarter of a shard are hot (at most four times as
 many as shards), and so are the start and the end of a text, which all texts
-share: their pairs are dealt by both words. A shard whose
-postings are many is searched by several tasks.
+share: their pairs are dealt by both words. A shard with many pairs is
+searched by several tasks.
 
 Words are 64-bit hashes. Null and empty texts are an end token. Rows equal in
 id and text share one result; null ids are kept. Without training texts all
@@ -37,6 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -238,9 +241,7 @@ def _shared_pairs(counts: DataFrame, info: Corpus) -> DataFrame:
             rows.append((shard, int(times[at].sum()), hi, lo, (v[at] >> U64(32)).astype("<u4").tobytes(), share[at].tobytes()))
         return pd.DataFrame(rows, columns=["shard", "tokens", "hi", "lo", "v", "share"])
 
-    return durable(
-        counts.groupBy("shard").applyInPandas(keep, "shard int, tokens bigint, hi binary, lo binary, v binary, share binary"), "lm-pairs"
-    )
+    return counts.groupBy("shard").applyInPandas(keep, "shard int, tokens bigint, hi binary, lo binary, v binary, share binary")
 
 
 @dataclass
@@ -315,9 +316,9 @@ class Trie:
         inside = np.minimum(at, max(0, self.words.n - 1))
         return np.where((at < self.words.n) & (self.words.get(inside) == w), at, -1) if self.words.n else np.full(len(w), -1)
 
-    def log_p(self, place: np.ndarray, v: np.ndarray) -> np.ndarray:
-        """log10 of the stored probability of word ``place`` after context v (upper 32 bits); NaN if not stored."""
-        out = np.full(len(place), np.nan)
+    def find_pairs(self, place: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Probability level of word ``place`` after context v (upper 32 bits); -1 if not stored."""
+        out = np.full(len(place), -1, dtype=np.int16)
         known = np.flatnonzero(place >= 0)
         if not self.contexts.n or not len(known):
             return out
@@ -327,11 +328,11 @@ class Trie:
         at = self.contexts.successor(key)
         inside = np.minimum(at, self.contexts.n - 1)
         hit = (at >= begin) & (at < end) & (self.contexts.get(inside) == key)
-        out[known[hit]] = self.book[self.codes[inside[hit]]]
+        out[known[hit]] = self.codes[inside[hit]]
         return out
 
 
-_TRIE = "shard int, words binary, counts binary, pointers binary, contexts binary, codes binary, book binary"
+_TRIE = "shard int, tokens bigint, words binary, counts binary, pointers binary, contexts binary, codes binary, book binary"
 
 
 def _tries(words: DataFrame, pairs: DataFrame, info: Corpus) -> DataFrame:
@@ -346,70 +347,108 @@ def _tries(words: DataFrame, pairs: DataFrame, info: Corpus) -> DataFrame:
         trie = Trie.build(
             w, c[first], _upper(kept), _joined(kept["v"], "<u4"), _joined(kept["share"], "<f4"), info
         )
-        return pd.DataFrame([{"shard": key[0], **trie.to_row()}])
+        return pd.DataFrame([{"shard": key[0], "tokens": int(kept["tokens"].sum()), **trie.to_row()}])
 
     every = words.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
-    all_kept = pairs.select("shard", "hi", "lo", "v", "share").unionByName(
-        every.select("shard", *[F.lit(b"").alias(x) for x in ("hi", "lo", "v", "share")])
+    all_kept = pairs.unionByName(
+        every.select("shard", F.lit(0).cast("bigint").alias("tokens"), *[F.lit(b"").alias(x) for x in ("hi", "lo", "v", "share")])
     )
     return durable(
         dealt.groupBy("shard").cogroup(all_kept.groupBy("shard")).applyInPandas(build, _TRIE), "lm-trie"
     )
 
 
-def _postings(texts: DataFrame, info: Corpus, tasks: list[int]) -> DataFrame:
-    """Pairs of all texts, dealt by word and, in shards with many, over several tasks."""
+_ASKED = "shard int, part int, block bigint, w binary, n binary, v binary"
+_ANSWER = "block bigint, shard int, n binary, counts binary, stored binary, codes binary"
+_OWN = "block bigint, keys binary, sizes binary, low binary, high binary"
+
+
+def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, Block, int]]:
+    """Each block with a number that no other has, and the task's number."""
+    task = TaskContext.get().partitionId()
+    for number, block in enumerate(blocks(batches)):
+        yield (task << 32) + number, block, task + number
+
 
-    def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for number, block in enumerate(blocks(batches)):
-            distinct, rank = np.unique(block.words, return_inverse=True)
-            key = (rank.astype(U64) << U64(44)) | ((block.before >> U64(32)) << U64(12)) | block.text.astype(U64)
-            key, times = np.unique(key, return_counts=True)
-            w, v = distinct[(key >> U64(44)).astype(np.int64)], (key >> U64(12)) & U64(0xFFFFFFFF)
-            text = (key & U64(0xFFF)).astype(np.int64)
+def _block_pairs(block: Block, info: Corpus) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Distinct pairs of a block (word, 32 bits of the context), the pair at each token, and the pairs of each shard."""
+    distinct, rank = np.unique(block.words, return_inverse=True)
+    key, at = np.unique((rank.astype(U64) << U64(32)) | (block.before >> U64(32)), return_inverse=True)
+    w, v = distinct[(key >> U64(32)).astype(np.int64)], key & U64(0xFFFFFFFF)
+    return w, v, at, list(_by_shard(info.word_shard(w, v << U64(32))))
+
+
+def _asked(texts: DataFrame, info: Corpus, tasks: list[int]) -> DataFrame:
+    """The distinct pairs of each block, one row for each shard that may know some."""
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for own, block, turn in _numbered(batches):
+            w, v, _, dealt = _block_pairs(block, info)
             rows = []
-            for shard, at in _by_shard(info.word_shard(w, v << U64(32))):
+            for shard, at in dealt:
                 starts = _runs(w[at])
-                own, local = np.unique(text[at], return_inverse=True)
-                rows.append(
-                    (
-                        shard,
-                        (number + int(block.keys[0])) % tasks[shard],
-                        w[at][starts].tobytes(),
-                        np.diff(np.append(starts, len(at))).astype("<u4").tobytes(),
-                        v[at].astype("<u4").tobytes(),
-                        local.astype("<u2").tobytes(),
-                        times[at].astype("<u4").tobytes(),
-                        block.keys[own].tobytes(),
-                    )
-                )
-            yield pd.DataFrame(rows, columns=["shard", "part", "w", "n", "v", "text", "times", "keys"])
+                sizes = np.diff(np.append(starts, len(at)))
+                asked = (w[at][starts].tobytes(), sizes.astype("<u4").tobytes(), v[at].astype("<u4").tobytes())
+                rows.append((shard, turn % tasks[shard], own, *asked))
+            yield pd.DataFrame(rows, columns=["shard", "part", "block", "w", "n", "v"])
 
-    return texts.mapInPandas(post, "shard int, part int, w binary, n binary, v binary, text binary, times binary, keys binary")
+    return texts.mapInPandas(ask, _ASKED)
 
 
-def look_up(row, trie: Trie, info: Corpus) -> pd.DataFrame:
-    """Sums by text over one row of postings."""
+def _own(texts: DataFrame, info: Corpus) -> DataFrame:
+    """Each block's texts, their numbers of tokens, and at each token its pair's place in the answers (two bytes and one)."""
+
+    def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for number, block, _ in _numbered(batches):
+            w, _, at, dealt = _block_pairs(block, info)
+            place = np.empty(len(w), dtype=np.uint32)
+            place[np.concatenate([pairs for _, pairs in dealt])] = np.arange(len(w))
+            at = place[at]
+            lengths = np.bincount(block.text, minlength=len(block.keys)).astype("<u4")
+            row = (number, block.keys.tobytes(), lengths.tobytes(), (at & 0xFFFF).astype("<u2").tobytes(), (at >> 16).astype(np.uint8).tobytes())
+            yield pd.DataFrame([row], columns=["block", "keys", "sizes", "low", "high"])
+
+    return texts.mapInPandas(own, _OWN)
+
+
+def look_up(row, trie: Trie) -> tuple:
+    """What a shard knows of the pairs in one row: counts of words, whether a pair is stored, and the levels of those that are."""
     w, n = np.frombuffer(row.w, dtype="<u8"), np.frombuffer(row.n, dtype="<u4")
-    v, text = np.frombuffer(row.v, dtype="<u4"), np.frombuffer(row.text, dtype="<u2")
-    times, keys = np.frombuffer(row.times, dtype="<u4").astype(np.float64), np.frombuffer(row.keys, dtype="<i8")
     place = trie.find_words(w)
-    count = np.where(place >= 0, trie.counts[np.maximum(place, 0)] if len(trie.counts) else 0, 0)
-    p = info.p(count)
-    place, p, known = np.repeat(place, n), np.repeat(p, n), np.repeat(count > 0, n)
-    stored = trie.log_p(place, v)
+    counts = np.where(place >= 0, trie.counts[np.maximum(place, 0)] if len(trie.counts) else 0, 0)
+    codes = trie.find_pairs(np.repeat(place, n), np.frombuffer(row.v, dtype="<u4"))
+    stored = codes >= 0
+    return row.block, row.shard, row.n, counts.astype("<i8").tobytes(), np.packbits(stored).tobytes(), codes[stored].astype(np.uint8).tobytes()
+
+
+def _answered(answers: pd.DataFrame, owns: pd.DataFrame, info: Corpus, books: dict[int, np.ndarray]) -> pd.DataFrame:
+    """Sums by text of one block, from its own row and the shards' answers."""
+    if len(owns) != 1 or not len(answers):
+        raise RuntimeError("texts changed between two reads: pass a written table")
+    own, answers = owns.iloc[0], answers.sort_values("shard")
+    count = np.repeat(_joined(answers["counts"], "<i8"), _joined(answers["n"], "<u4"))
+    stored = []
+    for r in answers.itertuples():
+        p = np.full(int(np.frombuffer(r.n, dtype="<u4").sum()), np.nan)
+        known = np.unpackbits(np.frombuffer(r.stored, dtype=np.uint8), count=len(p)).astype(bool)
+        p[known] = books[r.shard][np.frombuffer(r.codes, dtype=np.uint8)]
+        stored.append(p)
+    stored = np.concatenate(stored)
+    base, known = np.log10(info.p(count)), count > 0
     share = SHARE if info.tokens else 0.0
-    score = np.where(np.isnan(stored), np.log10((1 - share) * p), stored)
+    score = np.where(np.isnan(stored), np.log10(1 - share) + base, stored)
     # After a word that training has not seen, the next token has the whole of P(w): its part is added here.
     score = score - np.log10(1 - share) * ~known
-    total = lambda x: np.bincount(text, weights=x * times, minlength=len(keys))
+    keys, lengths = np.frombuffer(own["keys"], dtype="<i8"), np.frombuffer(own["sizes"], dtype="<u4").astype(np.int64)
+    at = np.frombuffer(own["low"], dtype="<u2") | (np.frombuffer(own["high"], dtype=np.uint8).astype(np.uint32) << 16)
+    starts = np.cumsum(lengths) - lengths  # a text has a token at least
     return pd.DataFrame(
         {
             "key": keys,
-            "n_tokens": total(1.0 + 0 * p).astype(np.int64),
-            "n_known": total(known).astype(np.int64),
-            "base_score": total(np.log10(p)),
-            "score": total(score),
+            "n_tokens": lengths,
+            "n_known": np.add.reduceat(known[at], starts, dtype=np.int64),
+            "base_score": np.add.reduceat(base[at], starts),
+            "score": np.add.reduceat(score[at], starts),
         }
     )
 
@@ -424,22 +463,28 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     info, words = corpus(training)
     pairs = _shared_pairs(_pair_counts(training, info), info)
     model = _tries(words, pairs, info)
-    tokens = {r.shard: r.n for r in pairs.groupBy("shard").agg(F.sum("tokens").alias("n")).collect()}  # one row per shard
-    tasks = [max(1, math.ceil(tokens.get(s, 0) / (8 * SHARD_TOKENS))) for s in range(1 << info.bits)]
-    postings = _postings(rows.select("key", "text"), info, tasks)
+    known = {r.shard: r for r in model.select("shard", "tokens", "book").collect()}  # one row of 2 KB per shard
+    tasks = [max(1, math.ceil(known[s].tokens / (8 * SHARD_TOKENS))) for s in range(1 << info.bits)]
+    books = {s: np.frombuffer(r.book, dtype="<f8") for s, r in known.items()}
+    texts = rows.select("key", "text")
+    asked = _asked(texts, info, tasks)
     parts = F.element_at(F.array(*[F.lit(t) for t in tasks]), F.col("shard") + 1) if max(tasks) > 1 else F.lit(1)
     served = model.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
 
-    def answer(posted: pd.DataFrame, tries: pd.DataFrame) -> pd.DataFrame:
+    def answer(asked: pd.DataFrame, tries: pd.DataFrame) -> pd.DataFrame:
         trie = Trie.from_row(tries.iloc[0])
-        found = [look_up(r, trie, info) for r in posted.itertuples()]
-        columns = ["key", "n_tokens", "n_known", "base_score", "score"]
-        return pd.concat(found).groupby("key", as_index=False).sum()[columns] if found else pd.DataFrame(columns=columns)
+        return pd.DataFrame([look_up(r, trie) for r in asked.itertuples()], columns=["block", "shard", "n", "counts", "stored", "codes"])
 
     sums = (
-        postings.groupBy("shard", "part")
+        asked.groupBy("shard", "part")
         .cogroup(served.groupBy("shard", "part"))
-        .applyInPandas(answer, "key bigint, n_tokens bigint, n_known bigint, base_score double, score double")
+        .applyInPandas(answer, _ANSWER)
+        .groupBy("block")
+        .cogroup(_own(texts, info).groupBy("block"))
+        .applyInPandas(
+            lambda answers, owns: _answered(answers, owns, info, books),
+            "key bigint, n_tokens bigint, n_known bigint, base_score double, score double",
+        )
         .groupBy("key")
         .agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     )

@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import pandas as pd
 from pyspark.sql import functions as F
 
-from tallyroom.llm.language_model import SHARE, _pair_counts, _shared_pairs, corpus, score
+from tallyroom.llm.language_model import SHARE, _asked, _pair_counts, _shared_pairs, blocks, corpus, score
 
 
 def formula(training, texts):
@@ -77,3 +78,20 @@ def test_pairs_keep_five_bytes_of_a_word(spark):
     distinct = {p for r in texts.collect() for p in zip(["<s>", *r.text.split()], [*r.text.split(), None])}
     sizes = {c: pairs.agg(F.sum(F.octet_length(c))).first()[0] for c in ("hi", "lo", "v", "share")}
     assert sizes == {"hi": 4 * len(distinct), "lo": len(distinct), "v": 4 * len(distinct), "share": 4 * len(distinct)}
+
+
+def test_a_block_asks_for_a_pair_once(spark):
+    """No row per text and shard; many small blocks give the same sums as one."""
+    texts = [" ".join(f"w{(i * j) % 23}" for j in range(1 + i % 40)) for i in range(300)] + ["x y " * 100, "x y " * 100, "", "unseen " * 3]
+    one = spark.createDataFrame([(i, t, i == 303) for i, t in enumerate(texts)], "doc_id bigint, text string, held boolean").coalesce(1)
+    many = one.repartition(20, "doc_id")
+    listed = many.select(F.col("doc_id").alias("key"), "text")
+    made = [b for part in listed.rdd.glom().collect() if part for b in blocks(iter([pd.DataFrame(part, columns=["key", "text"])]))]
+    info, _ = corpus(listed)
+    asked = _asked(listed, info, [1] * (1 << info.bits)).toPandas()
+    assert len(made) > 10 and len(asked) <= len(made) << info.bits
+    assert asked.v.map(len).sum() == 4 * sum(len(set(zip(b.before, b.words))) for b in made)
+    whole, small = [{r.doc_id: r for r in score(df, F.col("held")).collect()} for df in (one, many)]
+    for i, text in enumerate(texts):
+        assert small[i].n_tokens == whole[i].n_tokens == len(text.split()) + 1 and small[i].n_known == whole[i].n_known
+        assert math.isclose(small[i].score, whole[i].score) and math.isclose(small[i].base_score, whole[i].base_score)
