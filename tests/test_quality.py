@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 import pytest
 
 from tallyroom.operators import quality as Q
@@ -61,6 +63,49 @@ def test_orphans_count_null_keys(spark):
     assert got == {"items_without_order": 3, "items_without_price": 1, "scores_out_of_range": 1}
 
 
+def test_checks_on_one_key_share_an_aggregation(spark):
+    """Repeated and NULL keys on both sides; the counts of :func:`failing_rows`, one read per table."""
+    items = spark.createDataFrame([("a",), ("a",), ("x",), ("x",), ("y",), (None,), (None,)], "order_id string")
+    pays = spark.createDataFrame([("b",), (None,), ("y",)], "order_id string")
+    orders = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "order_id string")
+    tables = {"order_items": items, "payments": pays, "orders": orders}
+    checks = [
+        Q.unique("orders", "order_id"),
+        Q.relationships("order_items", "order_id", "orders", "order_id"),
+        Q.relationships("payments", "order_id", "orders", "order_id"),
+        *[c for c in contract.SILVER_CHECKS if c.kind == "items_without_order"],
+        Q.relationships("orders", "order_id", "orders", "order_id"),
+    ]
+    report = Q.run_checks(tables, checks)
+    assert [r.failing_rows for r in report.collect()] == [1, 3, 1, 5, 0]
+    for check, found in zip(checks, [1, 3, 1, 5, 0]):
+        rows = Q.failing_rows(check, tables).collect()
+        assert (len(rows) if check.kind == "unique" else sum(r.n_rows for r in rows)) == found
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [value") == 1 and "Join" not in plan
+
+
+def test_key_of_another_type(spark):
+    child = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k bigint")
+    parent = spark.createDataFrame([("1",), ("3",), (None,)], "k string")
+    report = Q.run_checks({"c": child, "p": parent}, [Q.relationships("c", "k", "p", "k"), Q.unique("p", "k")])
+    assert {r.check_name: r.failing_rows for r in report.collect()} == {"relationships": 2, "unique": 0}
+
+
+def test_tables_are_written_side_by_side(spark):
+    both = threading.Barrier(2, timeout=20)
+
+    def write(name, df):
+        both.wait()  # breaks when one write waits for the end of the other
+        df.collect()
+        return df
+
+    tables = {n: spark.createDataFrame([(1,), (None,)], "k int") for n in ("s", "t")}
+    written, report = Q.checked_writes(tables, [Q.not_null("s", "k"), Q.not_null("t", "k")], write)
+    assert list(written) == ["s", "t"]
+    assert [(r.table_name, r.failing_rows) for r in report.collect()] == [("s", 1), ("t", 1)]
+
+
 def test_contract_size():
     generic = [c for c in (*contract.BRONZE_CHECKS, *contract.SILVER_CHECKS, *contract.GOLD_CHECKS) if c.failing is None]
     assert len(generic) == 59
