@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from tallyroom.entry.book import plain, query
 from tallyroom.operators import quality as Q
 from tallyroom.plans.learning import TrainConfig
 from tallyroom.sources import sinks
-from tallyroom.sources.durable import shared_root
+from tallyroom.sources.durable import shared_root, together
 from tallyroom.sources.loads import LakePaths, load_all
 from tallyroom.sources.readers import new_batch_id, read_csv_entity, read_exchange_rates, read_json_records, text_schema
 from tallyroom.sources.registry import ENTITIES
@@ -88,8 +90,8 @@ _FILE_NAMES = {
 def load_all_report(spark: SparkSession, d: str) -> DataFrame:
     """Deliver the raw tables as files and load them; two sources are absent."""
     root = _folder(spark, "lake")
-    for name, file in _FILE_NAMES.items():
-        sinks.write_csv(_files(spark, d, name), f"{root}/data/csv/{file}")
+    files = {f"{root}/data/csv/{file}": _files(spark, d, name) for name, file in _FILE_NAMES.items()}
+    together(*[partial(sinks.write_csv, df, path) for path, df in files.items()])
     paths = LakePaths(f"{root}/data", f"{root}/bronze")
     report = load_all(spark, paths, names=(*_LOADED, "geolocation", "products_json"))
     return report.select("name", "table_name", "success", "n_rows", (F.col("error") != "").alias("has_error"))

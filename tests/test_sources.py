@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import json
+import threading
 
 import pytest
 
 from tallyroom.operators import quality as Q
-from tallyroom.sources import readers, sinks
+from tallyroom.sources import loads, readers, sinks
 from tallyroom.sources.durable import durable, shared_root
 from tallyroom.sources.loads import LakePaths, load_all, load_products
 from tallyroom.sources.registry import ENTITIES
@@ -94,6 +95,19 @@ def test_rates_without_files(spark, tmp_path):
     assert readers.read_exchange_rates(spark, f"{tmp_path}/exchange_rates*.json").count() == 0
 
 
+def test_tables_load_side_by_side(spark, lake, monkeypatch):
+    both, order = threading.Barrier(2, timeout=20), []
+
+    def load(spark, name, paths, batch_id):
+        if order.count(name) == 0:
+            both.wait()  # breaks when one table waits for the end of the other
+        order.append(name)
+
+    monkeypatch.setattr(loads, "load_entity", load)
+    report = load_all(spark, LakePaths(f"{lake}/data", f"{lake}/bronze"), names=("reviews", "sellers", "reviews")).collect()
+    assert [(r.name, r.success, r.n_rows, r.error) for r in report] == [(n, True, -1, "") for n in ("reviews", "sellers", "reviews")]
+
+
 def test_load_all_isolates_failures_and_appends(spark, lake):
     paths = LakePaths(f"{lake}/data", f"{lake}/bronze")
     names = ("reviews", "orders", "sellers", "exchange_rates", "products_json")
