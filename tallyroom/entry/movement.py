@@ -91,7 +91,7 @@ def load_all_report(spark: SparkSession, d: str) -> DataFrame:
     """Deliver the raw tables as files and load them; two sources are absent."""
     root = _folder(spark, "lake")
     files = {f"{root}/data/csv/{file}": _files(spark, d, name) for name, file in _FILE_NAMES.items()}
-    together(*[partial(sinks.write_csv, df, path) for path, df in files.items()])
+    together(*[partial(sinks.write_csv, df, path, gzip=True) for path, df in files.items()])
     paths = LakePaths(f"{root}/data", f"{root}/bronze")
     report = load_all(spark, paths, names=(*_LOADED, "geolocation", "products_json"))
     return report.select("name", "table_name", "success", "n_rows", (F.col("error") != "").alias("has_error"))

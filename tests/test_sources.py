@@ -7,6 +7,7 @@ import threading
 
 import pytest
 
+from tallyroom.entry import movement
 from tallyroom.operators import quality as Q
 from tallyroom.sources import loads, readers, sinks
 from tallyroom.sources.durable import durable, shared_root
@@ -160,6 +161,62 @@ def test_exports(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/json").count() == 2
 
 
+def test_gzip_exports_read_back(spark, tmp_path):
+    columns = ENTITIES["sellers"].columns
+    rows = [("s1", " 01 ", 'two\nlines, and "quotes"', ""), ("s2", None, "São Paulo", "SP"), ("", "", "", "")]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns)).repartition(3)
+    sinks.write_csv(df, f"{tmp_path}/plain")
+    sinks.write_csv(df, f"{tmp_path}/small", gzip=True)
+    assert list(tmp_path.glob("plain/*.csv")) and not list(tmp_path.glob("plain/*.gz"))
+    assert list(tmp_path.glob("small/*.csv.gz")) and not list(tmp_path.glob("small/*.csv"))
+    back = {n: sorted(map(tuple, readers.read_csv_entity(spark, "sellers", f"{tmp_path}/{n}").select(*columns).collect())) for n in ("plain", "small")}
+    assert back["small"] == back["plain"] == sorted(tuple(v or "" for v in r) for r in rows)
+
+
+def _shop(spark, d):
+    """Own rows for the tables under ``load_all_report``; texts with line ends, quotes and blanks."""
+    keys = spark.range(0, 4000, 1, 2)
+    day = "TIMESTAMP '2020-01-01 00:00:00' + make_interval(0, 0, 0, CAST(id % 700 AS INT))"
+    tables = {
+        "nation": ("id AS n_nationkey", "concat('N', id) AS n_name"),
+        "customer": ("id AS c_custkey", "concat('C#', id) AS c_name", "CAST(id % 5 AS INT) AS c_nationkey", "'HOME' AS c_mktsegment"),
+        "supplier": ("id AS s_suppkey", "concat('S#', id) AS s_name", "CAST(id % 5 AS INT) AS s_nationkey"),
+        "part": ("id AS p_partkey", "concat('part ', id) AS p_name", "concat('T', id % 9) AS p_type", "CAST(id % 50 AS INT) AS p_size",
+                 "CAST(id AS DOUBLE) / 4 AS p_retailprice"),
+        "orders": ("id AS o_orderkey", "id % 300 AS o_custkey", "substring('FOP', CAST(id % 3 AS INT) + 1, 1) AS o_orderstatus",
+                   f"{day} AS o_orderdate", "concat(id % 5 + 1, '-HIGH') AS o_orderpriority"),
+        "lineitem": ("id % 999 AS l_orderkey", "id % 70 AS l_partkey", "id % 40 AS l_suppkey", "CAST(id % 7 AS INT) AS l_linenumber",
+                     "CAST(id % 50 AS DOUBLE) AS l_quantity", "id * 1.25D AS l_extendedprice", "0.05D AS l_discount",
+                     "substring('ANR', CAST(id % 3 AS INT) + 1, 1) AS l_returnflag", f"{day} AS l_shipdate"),
+        "documents": ("id * 2 AS doc_id", "concat(' text ', id, ', \"quoted\"\\n', repeat('ação ', CAST(id % 40 AS INT))) AS text"),
+    }
+    for name, columns in tables.items():
+        (keys.limit(25) if name == "nation" else keys).selectExpr(*columns).write.parquet(f"{d}/{name}.parquet")
+
+
+def test_load_all_report_needs_a_fraction_of_the_plain_files(spark, tmp_path, monkeypatch):
+    """Deliveries and raw tables hold every row, in less than half of the disk of plain CSV and snappy."""
+    d, root = str(tmp_path / "tables"), tmp_path / "lake"
+    _shop(spark, d)
+    monkeypatch.setattr(movement, "_folder", lambda *_: str(root))
+    report = {r.name: r for r in movement.load_all_report(spark, d).collect()}
+    size = lambda at: sum(f.stat().st_size for f in at.rglob("part-*"))
+    plain = loaded = 0
+    for name, file in movement._FILE_NAMES.items():
+        raw, columns = movement._files(spark, d, name), ENTITIES[name].columns
+        sinks.write_csv(raw, str(tmp_path / "plain" / name))
+        bronze = sinks.read_bronze(spark, f"{root}/bronze/raw_{name}")
+        bronze.write.option("compression", "snappy").parquet(str(tmp_path / "snappy" / name))
+        as_text = lambda df: sorted(tuple(v or "" for v in r) for r in df.select(*columns).collect())  # noqa: B023, E731
+        assert as_text(bronze) == as_text(raw), name
+        assert report[name].success and report[name].n_rows == raw.count() > 0
+        plain += size(tmp_path / "plain" / name)
+        loaded += size(root / "data/csv" / file)
+    assert loaded < 0.5 * plain
+    assert size(root / "bronze") < size(tmp_path / "snappy")
+    assert not report["geolocation"].success and not report["products_json"].success
+
+
 def test_write_tables_refreshes(spark, tmp_path):
     df = spark.createDataFrame([(1,)], "a int")
     sinks.write_tables({"t": df}, str(tmp_path))
